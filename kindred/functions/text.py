@@ -13,13 +13,12 @@ PREFIXES = {
     "encode": config.ENCODE_PREFIX,
 }
 
-# Characters that end up as a token of their own, and scripts whose runs stay
-# together only with themselves. Everything else that is a letter or digit
-# forms a word.
-_SINGLE = r"[\p{IsHan}\p{IsHiragana}]"
-_KATAKANA_RUN = r"[\p{IsKatakana}ー]+"
-_WORD = r"[\p{L}\p{N}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}ー]]+"
-TOKEN_PATTERN = f"{_SINGLE}|{_KATAKANA_RUN}|{_WORD}"
+# Scripts whose characters are no part of a word: Han and Hiragana characters
+# are tokens of their own, Katakana runs stay together. Latin-1 letters come
+# first in the word class, the cheap test for most text.
+_SINGLE = r"\p{IsHan}\p{IsHiragana}"
+_RUN = r"\p{IsKatakana}ー"
+TOKEN_PATTERN = rf"[a-z0-9ß-öø-ÿ[\p{{L}}\p{{N}}&&[^{_SINGLE}{_RUN}]]]+|[{_RUN}]+|[{_SINGLE}]"
 
 
 def with_prefix(text: Column, prefix: str | None = None, mode: str = "query") -> Column:

@@ -52,7 +52,7 @@ def chunk_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT pos // {CHUNK_ROWS} AS chunk_id, count(*) AS n_rows, min(pos) AS first_pos, sum(length(text)) AS n_chars
+    f"""SELECT pos // {CHUNK_ROWS} AS chunk_id, count(*) AS n_rows, min(pos) AS first_pos, CAST(sum(length(text)) AS BIGINT) AS n_chars
     FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS pos, text FROM documents) GROUP BY 1"""
 )
 def chunk_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +91,7 @@ def source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT doc_id, count(*) AS n_lines, sum(length(line)) AS n_chars FROM (
+    """SELECT doc_id, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars FROM (
       SELECT doc_id, unnest(string_split_regex(text, '\\r\\n|\\r|\\n')) AS line FROM documents)
     WHERE line <> '' GROUP BY doc_id"""
 )

@@ -140,7 +140,7 @@ def link_traced(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-MIN_SCORE = 0.65
+MIN_SCORE = 0.5
 MENTION = "the red"
 _MENTIONS = "list_has_any(regexp_extract_all(lower(keyword), '[\\p{L}\\p{N}]+'), ['the', 'red'])"
 
@@ -208,7 +208,8 @@ def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _POSTINGS = f"""SELECT doc_id, token, count(*) AS tf, max(dl) AS dl FROM (
-  SELECT doc_id, unnest({_TOKENS}) AS token, len({_TOKENS}) AS dl FROM documents) GROUP BY doc_id, token"""
+  SELECT doc_id, unnest(t) AS token, len(t) AS dl FROM (SELECT doc_id, {_TOKENS} AS t FROM documents))
+  GROUP BY doc_id, token"""
 
 
 @query(_POSTINGS)
@@ -234,8 +235,9 @@ def _match_sql(docs: str, doc_id: str, text: str, queries: str, query_id: str, q
     def toks(column: str) -> str:
         return f"regexp_extract_all(lower({column}), '[\\p{{L}}\\p{{N}}]+')"
 
-    return f"""WITH occ AS (SELECT {doc_id} AS doc_id, unnest({toks(text)}) AS token, len({toks(text)}) AS dl FROM {docs}),
-      lengths AS (SELECT count(*) AS n_docs, avg(dl) AS avg_dl FROM (SELECT len({toks(text)}) AS dl FROM {docs}) WHERE dl > 0),
+    return f"""WITH split AS (SELECT {doc_id} AS doc_id, {toks(text)} AS t FROM {docs}),
+      occ AS (SELECT doc_id, unnest(t) AS token, len(t) AS dl FROM split),
+      lengths AS (SELECT count(*) AS n_docs, avg(len(t)) AS avg_dl FROM split WHERE len(t) > 0),
       post AS (SELECT doc_id, token, dl, count(*) AS tf FROM occ GROUP BY ALL),
       asked AS (SELECT query_id, token, count(*) AS weight FROM (
         SELECT {query_id} AS query_id, unnest({toks(query_text)}) AS token FROM {queries}) GROUP BY ALL),
