@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred import config
 from kindred.functions.text import tokens
+from kindred.session import materialize
 
 # Fixed values of the published ranking formula.
 K1 = 1.2
@@ -15,13 +18,54 @@ B = 0.75
 # Sums arrive in any order; rounding makes equal documents score equal.
 SCORE_DIGITS = 9
 
+# Query terms (query, token) shipped to every task at most.
+MAX_BROADCAST_TERMS = 1_000_000
+
+# Token of the row that carries a document's length; no text has it.
+LENGTH_ROW = ""
+
+
+def token_counts(token_array: Column) -> Column:
+    """``array<struct<token, tf>>`` of a token list, computed inside the row:
+    the list is sorted and the starts of its runs give the counts, so no rows
+    are shuffled to count the tokens of one document."""
+
+    def run_starts(ordered: Column) -> Column:
+        places = F.transform(
+            ordered, lambda t, i: F.when((i == 0) | (t != F.get(ordered, i - 1)), i)
+        )
+        return F.filter(places, lambda i: i.isNotNull())
+
+    def counted(ordered: Column, starts: Column) -> Column:
+        return F.transform(
+            starts,
+            lambda start, place: F.struct(
+                F.get(ordered, start).alias("token"),
+                (F.coalesce(F.get(starts, place + 1), F.size(ordered)) - start).cast("bigint").alias("tf"),
+            ),
+        )
+
+    return _once(F.array_sort(token_array), lambda ordered: _once(run_starts(ordered), lambda starts: counted(ordered, starts)))
+
+
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` with ``value`` bound to a lambda variable, so that it is
+    computed once per row and not once per element that looks into it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _split(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("tokens"))
+
 
 def postings(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(token, doc_id, tf, dl): how often a token stands in a document, and the
-    document's length in tokens."""
-    split = docs.select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("tokens"))
-    each = split.select("doc_id", F.size("tokens").alias("dl"), F.explode("tokens").alias("token"))
-    return each.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"))
+    """(doc_id, token, tf, dl): how often a token stands in a document, and the
+    document's length in tokens. One row per document and token, no shuffle;
+    ``doc_id`` is the key of the table."""
+    counted = _split(docs, doc_id, text).select(
+        "doc_id", F.size("tokens").alias("dl"), F.explode(token_counts(F.col("tokens"))).alias("entry")
+    )
+    return counted.select("doc_id", "entry.token", "entry.tf", "dl")
 
 
 def corpus_stats(docs: DataFrame, text: str) -> DataFrame:
@@ -50,34 +94,49 @@ def match(
     """The ``size`` best documents of every query: ``query_id, rank, score, doc_id``.
 
     A document matches if it has any token of the query; a token that stands
-    twice in the query counts twice. Postings are cut down to the query tokens
-    (a semi join on their distinct set) before anything is shuffled, and the
-    corpus statistics are two numbers computed in one pass over the lengths.
+    twice in the query counts twice. The texts are split once: postings of
+    query tokens, and one length row per document, are written to the shared
+    folder, and statistics and scores read that table. While the query
+    vocabulary is small (it is counted) it is shipped to the scan, so only
+    postings that matter leave it.
     """
-    asked = (
+    asked = materialize(
         queries.select(F.col(query_id).alias("query_id"), F.explode(tokens(F.col(query))).alias("token"))
         .groupBy("query_id", "token")
-        .agg(F.count(F.lit(1)).alias("weight"))
+        .agg(F.count(F.lit(1)).alias("weight")),
+        "asked",
     )
-    split = docs.select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("tokens"))
-    occurrences = split.select("doc_id", F.size("tokens").alias("dl"), F.explode("tokens").alias("token"))
-    wanted = asked.select("token").distinct()
-    found = (
-        occurrences.join(wanted, "token", "left_semi")
-        .groupBy("doc_id", "token", "dl")
-        .agg(F.count(F.lit(1)).alias("tf"))
+    n_terms = asked.count()
+    wanted = asked.select("token").unionByName(asked.sparkSession.createDataFrame([(LENGTH_ROW,)], "token string"))
+    wanted = wanted.distinct()
+    entry = F.struct(F.lit(LENGTH_ROW).alias("token"), F.lit(0).cast("bigint").alias("tf"))
+    split = _split(docs, doc_id, text).select(
+        "doc_id",
+        F.size("tokens").alias("dl"),
+        F.explode(F.concat(F.array(entry), token_counts(F.col("tokens")))).alias("entry"),
     )
-    stats = corpus_stats(docs, text).first()
-    n_docs, avg_dl = stats["n_docs"], stats["avg_dl"] or 1.0
-    frequency = found.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log1p((F.lit(float(n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    rows = split.select("doc_id", "dl", "entry.token", "entry.tf")
+    found = materialize(rows.join(_small(wanted, n_terms), "token", "left_semi"), "found")
+    lengths = found.filter((F.col("token") == LENGTH_ROW) & (F.col("dl") > 0))
+    stats = lengths.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avg_dl")).first()
+    n_docs, avg_dl = float(stats["n_docs"]), float(stats["avg_dl"] or 1.0)
+    hits = found.filter(F.col("token") != LENGTH_ROW)
+    frequency = hits.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    idf = F.log1p((F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     terms = asked.join(frequency, "token").select("query_id", "token", (F.col("weight") * idf).alias("idf"))
-    saturation = F.col("tf") / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.lit(float(avg_dl))))
+    saturation = F.col("tf") / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.lit(avg_dl)))
     scored = (
-        found.join(terms, "token")
+        hits.select("doc_id", "token", saturation.alias("saturation"))
+        .join(_small(terms, n_terms), "token")
         .groupBy("query_id", "doc_id")
-        .agg(F.round(F.sum(F.col("idf") * saturation), SCORE_DIGITS).alias("score"))
+        .agg(F.round(F.sum(F.col("idf") * F.col("saturation")), SCORE_DIGITS).alias("score"))
     )
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
     ranked = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= size)
     return ranked.select("query_id", "rank", "score", "doc_id")
+
+
+def _small(side: DataFrame, n_rows: int) -> DataFrame:
+    """Broadcast up to a counted number of rows; beyond it the join shuffles and
+    the adaptive planner splits skewed tokens."""
+    return F.broadcast(side) if n_rows <= MAX_BROADCAST_TERMS else side

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kindred.session import ship_package
+from kindred.sources.tables import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,3 +33,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """The table for work that is heavy per row."""
+    return spread(table(spark, sf_dir, name), key)

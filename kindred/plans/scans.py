@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kindred import config
 from kindred.functions.text import as_text, payload_of, payload_value, tokens, truncate_tokens, with_prefix
-from kindred.plans.registry import query, table
+from kindred.plans.registry import query, spread_table, table
 from kindred.session import new_work_path
 from kindred.sources.mapping import conform, default_mapping, schema_of
 from kindred.sources.results import write_text_lines
@@ -97,7 +97,7 @@ def source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def non_blank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.filter(F.split("text", r"\r\n|\r|\n"), lambda line: line != "")
-    counted = table(spark, sf_dir, "documents").select("doc_id", lines.alias("lines"))
+    counted = spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", lines.alias("lines"))
     return counted.filter(F.size("lines") > 0).select(
         "doc_id",
         F.size("lines").cast("bigint").alias("n_lines"),
@@ -168,7 +168,7 @@ def payload_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def token_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the token limits of the model leave of each whole text."""
-    split = table(spark, sf_dir, "documents").select("doc_id", tokens(F.col("text")).alias("t"))
+    split = spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", tokens(F.col("text")).alias("t"))
     return split.select(
         "doc_id",
         F.size("t").cast("bigint").alias("n_tokens"),

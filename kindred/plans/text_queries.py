@@ -14,7 +14,7 @@ from kindred.operators import deadletter, metrics
 from kindred.operators.embed import GRAM_FACTORS, GRAM_PRIME, HashEmbedder, embed, embed_outcomes, hash_embedder
 from kindred.operators.fulltext import B, K1, corpus_stats, match, postings, token_stats
 from kindred.operators.link import link_products, make_points, nest_links, search_distinct, search_texts, trace_keywords
-from kindred.plans.registry import query, table
+from kindred.plans.registry import query, spread_table, table
 from kindred.session import materialize, new_work_path
 
 DIM = 64
@@ -45,7 +45,7 @@ def topk_sql(queries: str, points: str, k: int) -> str:
 
 
 def _document_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return make_points(table(spark, sf_dir, "documents"), MODEL, DIM, row_id="doc_id")
+    return make_points(spread_table(spark, sf_dir, "documents", "doc_id"), MODEL, DIM, row_id="doc_id")
 
 
 _DOC_VECTORS = hash_vectors_sql("docs", "documents", "doc_id", "text")
@@ -56,7 +56,7 @@ _DOC_VECTORS = hash_vectors_sql("docs", "documents", "doc_id", "text")
     FROM (SELECT key, v, unnest(range({DIM})) AS bucket FROM docs)"""
 )
 def hash_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    embedded = embed(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", MODEL, DIM)
+    embedded = embed(spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", "text"), "text", MODEL, DIM)
     flat = embedded.select("doc_id", F.posexplode("vector").alias("bucket", "x"))
     return flat.select(
         "doc_id", F.col("bucket").cast("bigint").alias("bucket"), F.round(F.col("x").cast("double"), 5).alias("x")
@@ -199,7 +199,7 @@ _TOKENS = "regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')"
 
 @query(f"SELECT doc_id, len({_TOKENS}) AS dl, len(list_distinct({_TOKENS})) AS n_distinct FROM documents")
 def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = table(spark, sf_dir, "documents").select("doc_id", tokens(F.col("text")).alias("t"))
+    split = spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", tokens(F.col("text")).alias("t"))
     return split.select(
         "doc_id",
         F.size("t").cast("bigint").alias("dl"),
@@ -214,13 +214,13 @@ _POSTINGS = f"""SELECT doc_id, token, count(*) AS tf, max(dl) AS dl FROM (
 
 @query(_POSTINGS)
 def posting_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = postings(table(spark, sf_dir, "documents"), "doc_id", "text")
+    found = postings(spread_table(spark, sf_dir, "documents", "doc_id"), "doc_id", "text")
     return found.withColumn("dl", F.col("dl").cast("bigint"))
 
 
 @query(f"SELECT token, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM ({_POSTINGS}) GROUP BY token")
 def token_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_stats(postings(table(spark, sf_dir, "documents"), "doc_id", "text"))
+    return token_stats(postings(spread_table(spark, sf_dir, "documents", "doc_id"), "doc_id", "text"))
 
 
 @query(
@@ -228,7 +228,7 @@ def token_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM (SELECT len({_TOKENS}) AS dl FROM documents) WHERE dl > 0"""
 )
 def corpus_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus_stats(table(spark, sf_dir, "documents"), "text").withColumn("avg_dl", F.round("avg_dl", 6))
+    return corpus_stats(spread_table(spark, sf_dir, "documents", "doc_id"), "text").withColumn("avg_dl", F.round("avg_dl", 6))
 
 
 def _match_sql(docs: str, doc_id: str, text: str, queries: str, query_id: str, query_text: str, size: int) -> str:
@@ -254,7 +254,7 @@ def _match_sql(docs: str, doc_id: str, text: str, queries: str, query_id: str, q
 def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark text as a match query on all documents."""
     hits = match(
-        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), query_id="item_id", query="text"
+        spread_table(spark, sf_dir, "documents", "doc_id"), table(spark, sf_dir, "benchmark"), query_id="item_id", query="text"
     )
     return hits.withColumn("score", F.round("score", 6))
 
@@ -264,7 +264,7 @@ def match_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product-name search: every distinct name as a query on all parts."""
     parts = table(spark, sf_dir, "part")
     names = parts.select("p_name").distinct()
-    hits = match(parts, names, doc_id="p_partkey", text="p_name", query_id="p_name", query="p_name", size=3)
+    hits = match(spread_table(spark, sf_dir, "part", "p_partkey"), names, doc_id="p_partkey", text="p_name", query_id="p_name", query="p_name", size=3)
     return hits.withColumn("score", F.round("score", 6))
 
 
@@ -294,7 +294,7 @@ _OUTCOMES = f"""WITH rows AS (SELECT doc_id AS pos, (doc_id // 64) * 64 AS batch
 
 
 def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), "text")
+    docs = spread_table(spark, sf_dir, "documents", "doc_id").select(F.col("doc_id").alias("pos"), "text")
     return embed_outcomes(docs, PickyModel, DIM, retry=NO_WAIT)
 
 

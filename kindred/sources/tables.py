@@ -22,6 +22,15 @@ def points_schema(id_type: T.DataType = T.LongType()) -> T.StructType:
     )
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a scan dealt out by key when the scan has fewer splits than the
+    session has cores (one large row group is one task). A large table has more
+    splits than cores and is left where it is. For plain scans only: the split
+    count is read from the plan."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).schema
