@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kindred.functions.binding import once
+
 
 def dot(a: Column, b: Column) -> Column:
     """Dot product, summed in index order in double precision."""
@@ -24,9 +26,10 @@ def cosine(a: Column, b: Column) -> Column:
 
 def l2_normalize(v: Column) -> Column:
     """Vector scaled to unit length; the zero vector stays as it is."""
-    norm = l2_norm(v)
-    scale = F.when(norm > 0, norm).otherwise(F.lit(1.0))
-    return F.transform(v, lambda x: x.cast("double") / scale)
+    return once(
+        l2_norm(v),
+        lambda norm: F.transform(v, lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(F.lit(0.0))),
+    )
 
 
 def vector_report(df: DataFrame, vector: str, dim: int, tolerance: float = 1e-4) -> DataFrame:

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred import config
+from kindred.functions.binding import once
 from kindred.functions.text import tokens
 from kindred.session import materialize
 
@@ -45,13 +44,10 @@ def token_counts(token_array: Column) -> Column:
             ),
         )
 
-    return _once(F.array_sort(token_array), lambda ordered: _once(run_starts(ordered), lambda starts: counted(ordered, starts)))
-
-
-def _once(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` with ``value`` bound to a lambda variable, so that it is
-    computed once per row and not once per element that looks into it."""
-    return F.get(F.transform(F.array(value), body), 0)
+    return once(
+        F.array_sort(token_array),
+        lambda ordered: once(run_starts(ordered), lambda starts: counted(ordered, starts)),
+    )
 
 
 def _split(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
