@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kindred import config
 from kindred.functions.binding import once
 from kindred.functions.text import tokens
+from kindred.operators.sizes import shipped
 from kindred.session import materialize
 
 # Fixed values of the published ranking formula.
@@ -17,9 +18,6 @@ B = 0.75
 # Sums arrive in any order; rounding makes equal documents score equal.
 SCORE_DIGITS = 9
 
-# Query terms (query, token) shipped to every task at most.
-MAX_BROADCAST_TERMS = 1_000_000
-
 # Token of the row that carries a document's length; no text has it.
 LENGTH_ROW = ""
 
@@ -112,7 +110,7 @@ def match(
         F.explode(F.concat(F.array(entry), token_counts(F.col("tokens")))).alias("entry"),
     )
     rows = split.select("doc_id", "dl", "entry.token", "entry.tf")
-    found = materialize(rows.join(_small(wanted, n_terms), "token", "left_semi"), "found")
+    found = materialize(rows.join(shipped(wanted, n_terms), "token", "left_semi"), "found")
     lengths = found.filter((F.col("token") == LENGTH_ROW) & (F.col("dl") > 0))
     stats = lengths.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avg_dl")).first()
     n_docs, avg_dl = float(stats["n_docs"]), float(stats["avg_dl"] or 1.0)
@@ -123,16 +121,10 @@ def match(
     saturation = F.col("tf") / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.lit(avg_dl)))
     scored = (
         hits.select("doc_id", "token", saturation.alias("saturation"))
-        .join(_small(terms, n_terms), "token")
+        .join(shipped(terms, n_terms), "token")
         .groupBy("query_id", "doc_id")
         .agg(F.round(F.sum(F.col("idf") * F.col("saturation")), SCORE_DIGITS).alias("score"))
     )
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
     ranked = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= size)
     return ranked.select("query_id", "rank", "score", "doc_id")
-
-
-def _small(side: DataFrame, n_rows: int) -> DataFrame:
-    """Broadcast up to a counted number of rows; beyond it the join shuffles and
-    the adaptive planner splits skewed tokens."""
-    return F.broadcast(side) if n_rows <= MAX_BROADCAST_TERMS else side

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kindred import config
 from kindred.functions.text import payload_value
 from kindred.operators.embed import EmbedFactory, embed
+from kindred.operators.sizes import shipped
 from kindred.operators.topk import topk_join
 
 
@@ -44,7 +45,9 @@ def search_texts(
     point_id, payload``. A query without hits keeps one row with null rank."""
     embedded = embed(queries.select(query_id, query), query, factory, dim, prefix=prefix)
     hits = topk_join(embedded, points, top_k, dim, query_id=query_id, **search)
-    with_payload = hits.join(points.select("point_id", "payload"), "point_id")
+    # hits of few queries go to the points, not the points through a shuffle
+    few = shipped(hits, queries.count() * top_k)
+    with_payload = points.select("point_id", "payload").join(few, "point_id")
     return (
         queries.select(F.col(query_id).alias("query_id"), F.col(query).alias("query"))
         .join(with_payload, "query_id", "left")

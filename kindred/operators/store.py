@@ -2,8 +2,9 @@
 
 Tables are unique by key. Changes are reduced to one row per key with
 partially aggregated ``max_by`` first, so a key with very many changes is
-folded map-side; the base table is only joined against that reduced set (an
-anti or left join that Spark broadcasts when the set is small).
+folded map-side. The reduced set is written once and counted: while it is
+small it is shipped to the base table, which then is neither shuffled nor
+sorted; beyond that the joins shuffle by key.
 """
 
 from __future__ import annotations
@@ -11,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kindred.operators.sizes import MAX_DOCUMENT_ROWS, shipped
+from kindred.session import materialize
+
 
 def latest_per_key(changes: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The row with the highest ``order`` of every key (last write wins)."""
@@ -21,13 +25,14 @@ def latest_per_key(changes: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 def upsert(base: DataFrame, changes: DataFrame, key: str, order: list[str]) -> DataFrame:
     """``base`` with the newest change per key inserted or put in its place."""
-    newest = latest_per_key(changes, key, order).select(*base.columns)
-    return base.join(newest.select(key), key, "left_anti").unionByName(newest)
+    newest = materialize(latest_per_key(changes, key, order).select(*base.columns), "newest")
+    return base.join(shipped(newest.select(key), newest.count()), key, "left_anti").unionByName(newest)
 
 
 def delete_ids(base: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """``base`` without the given ids; unknown ids are ignored."""
-    return base.join(ids.select(key), key, "left_anti")
+    gone = ids.select(key).distinct()
+    return base.join(shipped(gone, gone.count()), key, "left_anti")
 
 
 def partial_update(base: DataFrame, updates: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -41,7 +46,8 @@ def partial_update(base: DataFrame, updates: DataFrame, key: str, order: list[st
     """
     fields = [c for c in updates.columns if c in base.columns and c != key]
     folded = updates.groupBy(key).agg(*[_newest_given(updates, f, order).alias(f"_{f}") for f in fields])
-    joined = base.join(folded, key, "left")
+    folded = materialize(folded, "updates")
+    joined = base.join(shipped(folded, folded.count(), MAX_DOCUMENT_ROWS), key, "left")
     return joined.select(
         *[
             F.when(F.col(f"_{c}").isNotNull(), F.col(f"_{c}.value")).otherwise(F.col(c)).alias(c) if c in fields else F.col(c)
@@ -76,8 +82,16 @@ def fold_changes(base: DataFrame, log: DataFrame, key: str, seq: str, fields: li
         gives = reset | F.array_contains("given", f)
         value = F.struct(F.when(F.col("op") != "delete", F.col(f)).alias("value"))
         aggregates.append(F.max_by(F.when(gives, value), F.when(gives, F.col(seq))).alias(f"_{f}"))
-    folded = log.groupBy(key).agg(*aggregates)
-    joined = base.withColumn("_stored", F.lit(True)).join(folded, key, "full")
+    folded = materialize(log.groupBy(key).agg(*aggregates), "folded")
+    stored = base.withColumn("_stored", F.lit(True))
+    n_folded = folded.count()
+    if n_folded <= MAX_DOCUMENT_ROWS:
+        # the base stays in place: changed rows by a broadcast, new keys from the log side
+        known = base.select(key).join(F.broadcast(folded.select(key)), key, "left_semi")
+        new = folded.join(shipped(known, n_folded), key, "left_anti")
+        joined = stored.join(F.broadcast(folded), key, "left").unionByName(new, allowMissingColumns=True)
+    else:
+        joined = stored.join(folded, key, "full")
     lives = F.coalesce(F.col("_reset") == "index", F.col("_stored"), F.lit(False))
     merged = [
         F.when(F.col(f"_{f}").isNotNull(), F.col(f"_{f}.value")).otherwise(F.col(f)).alias(f) if f in fields else F.col(f)

@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 
 from kindred import config
 from kindred.functions.text import as_text
-
-# The per-file table is shipped to every task up to this many files.
-MAX_BROADCAST_FILES = 1_000_000
+from kindred.operators.sizes import shipped
+from kindred.session import materialize
 
 # The white space that stripping a whole text removes.
 _SPACE = r"[\s\u001c-\u001f\u0085\p{Z}]"
@@ -57,6 +56,11 @@ def parquet_reader(spark: SparkSession, path: str | list[str]) -> DataFrame:
         raise FileNotFoundError(f"no parquet files at {paths}: {error}") from error
 
 
+def inline_texts(spark: SparkSession, texts: list[str]) -> DataFrame:
+    """Texts typed in by hand, in their order."""
+    return _as_source(spark.createDataFrame(list(enumerate(texts)), "pos bigint, text string"))
+
+
 def check_text_column(df: DataFrame, text_column: str) -> None:
     if text_column not in df.columns:
         raise ValueError(f"no column '{text_column}'; available columns: {', '.join(df.columns)}")
@@ -103,9 +107,7 @@ def read_parquet_texts(
             # the files a limited scan touches, a prefix of the file list
             needed = [row["file"] for row in offsets.filter(F.col("rows_before") < limit).select("file").collect()]
             df = spark.read.schema(df.schema).parquet(*needed)
-        if n_files <= MAX_BROADCAST_FILES:
-            offsets = F.broadcast(offsets)
-        located = _located(df, text_column, keep).join(offsets.drop("n_rows"), "file")
+        located = _located(df, text_column, keep).join(shipped(offsets.drop("n_rows"), n_files), "file")
     chunk_id = F.col("chunks_before") + F.floor(F.col("row_in_file") / chunk_rows)
     numbered = located.select(
         (F.col("rows_before") + F.col("row_in_file")).cast("bigint").alias("pos"),
@@ -176,7 +178,8 @@ def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
         lines.groupBy("file", "split").agg(F.min("line").alias("first_line"), F.count(F.lit(1)).alias("n"))
     )
     place = F.col("rows_before") + F.col("line") - F.col("first_line")
-    return lines.join(splits, ["file", "split"]).select(place.cast("bigint").alias("pos"), "value", "file", "split")
+    numbered = lines.join(shipped(splits, splits.count()), ["file", "split"])
+    return numbered.select(place.cast("bigint").alias("pos"), "value", "file", "split")
 
 
 def _renumbered(lines: DataFrame) -> DataFrame:
@@ -184,10 +187,13 @@ def _renumbered(lines: DataFrame) -> DataFrame:
     (whose size is bounded by the reader) behind the counts of the splits before."""
     splits = _with_rows_before(lines.groupBy("file", "split").agg(F.count(F.lit(1)).alias("n")))
     inside = Window.partitionBy("file", "split").orderBy("pos")
-    numbered = lines.withColumn("place", F.row_number().over(inside) - 1).join(splits, ["file", "split"])
+    placed = lines.withColumn("place", F.row_number().over(inside) - 1)
+    numbered = placed.join(shipped(splits, splits.count()), ["file", "split"])
     return numbered.select((F.col("rows_before") + F.col("place")).cast("bigint").alias("pos"), "text")
 
 
 def _with_rows_before(splits: DataFrame) -> DataFrame:
+    """Written once: one row per file split, read by every later step."""
     before = Window.orderBy("file", "split").rowsBetween(Window.unboundedPreceding, -1)
-    return splits.withColumn("rows_before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    summed = splits.withColumn("rows_before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    return materialize(summed, "splits")

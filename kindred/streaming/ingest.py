@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from kindred import config
 from kindred.operators.embed import EmbedFactory
 from kindred.operators.link import link_products, make_points, nest_links
+from kindred.operators.sizes import shipped
 from kindred.operators.store import latest_per_key
 from kindred.sources.tables import read_table, table_exists
 
@@ -50,7 +51,8 @@ def batch_positions(batch: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
         .select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rows_before"))
     )
-    return batch.join(offsets, "file").withColumn("pos", F.col("rows_before") + F.col("row_in_file")).drop("rows_before")
+    placed = batch.join(shipped(offsets, offsets.count()), "file")
+    return placed.withColumn("pos", F.col("rows_before") + F.col("row_in_file")).drop("rows_before")
 
 
 def run_ingest(stream: DataFrame, table: str, step: BatchStep, *, checkpoint: str | None = None) -> None:
