@@ -32,6 +32,8 @@ HEADLINE = (
     "topk_approximate",
     "topk_single",
     "centroid_by_label",
+    "index_keywords",
+    "bulk_keywords",
     "bulk_documents",
     "upsert_latest",
     "changelog_fold",
@@ -74,7 +76,9 @@ def main() -> None:
             taken[name] = round(time.perf_counter() - started, 3)
     rows = {
         "embedded_texts_per_sec": ("hash_embed", "documents"),
+        "indexed_keywords_per_sec": ("index_keywords", "part"),
         "stored_documents_per_sec": ("bulk_documents", "documents"),
+        "stored_keywords_per_sec": ("bulk_keywords", "events"),
         "linked_products_per_sec": ("link_flat", "part"),
     }
     rates = {

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kindred import config
 from kindred.operators.numbering import first_rows
+from kindred.session import materialize
 
 MAX_VOCABULARY = 100_000
 
@@ -80,7 +81,7 @@ def generate_texts(
     drawn = max(2 * count, 16)
     for _ in range(max_rounds):
         sample = sample_texts(spark, drawn, vocabularies, templates, seed)
-        distinct = sample.groupBy("text").agg(F.min("row").alias("row"))
+        distinct = materialize(sample.groupBy("text").agg(F.min("row").alias("row")), "texts")
         if distinct.count() >= count:
             return first_rows(distinct, count, "row").select("pos", "text")
         drawn *= 4

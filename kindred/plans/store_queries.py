@@ -6,11 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred import config
+from kindred.functions.text import payload_value
 from kindred.operators import metrics, store
+from kindred.operators.embed import hash_embedder
 from kindred.operators.generate import Template, generate_texts, vocabulary
-from kindred.plans.registry import query, table
+from kindred.operators.link import make_points
+from kindred.plans.registry import query, spread_table, table
 from kindred.session import new_work_path
 from kindred.sources import tables
+from kindred.sources.text import read_parquet_texts
 
 
 def _accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,16 +60,51 @@ def upsert_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT CAST(doc_id AS VARCHAR) AS _id, md5(text) AS keyword_md5 FROM documents")
 def bulk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bulk load of a document table that may already exist, ids as strings."""
+    """Bulk load: the table is replaced, ids are positions as strings and hence
+    unique, so rows are written where they are read."""
     path = new_work_path(spark, "bulk")
-    docs = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").cast("string").alias("_id"), F.col("text").alias(config.SOURCE_KEY), F.col("doc_id").alias("seq")
+    docs = spread_table(spark, sf_dir, "documents", "doc_id")
+    tables.replace_table(docs.select(F.col("doc_id").cast("string").alias("_id"), F.col("text").alias(config.SOURCE_KEY)), path)
+    return tables.read_table(spark, path).select("_id", F.md5(config.SOURCE_KEY).alias("keyword_md5"))
+
+
+@query("SELECT CAST(event_id AS VARCHAR) AS _id, props AS keyword FROM events")
+def bulk_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bulk load of short texts."""
+    path = new_work_path(spark, "bulk")
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("_id"), F.col("props").alias(config.SOURCE_KEY)
+    )
+    tables.replace_table(events, path)
+    return tables.read_table(spark, path)
+
+
+@query("SELECT p_partkey AS point_id, p_name AS keyword FROM part")
+def index_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vector load of short texts: scan, row ids, model, table write."""
+    path = new_work_path(spark, "points")
+    texts = read_parquet_texts(spark, f"{sf_dir}/part.parquet", "p_name")
+    tables.replace_table(make_points(tables.spread(texts, "row_id"), hash_embedder(64), 64), path)
+    points = tables.read_table(spark, path, tables.points_schema())
+    return points.select("point_id", payload_value(F.col("payload"), config.PAYLOAD_KEY).alias("keyword"))
+
+
+@query(
+    """SELECT CAST(d.doc_id AS VARCHAR) AS _id, coalesce('quality ' || l.quality, d.source) AS keyword
+    FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
+)
+def upsert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents put over stored ones, ids as strings, into a table that may
+    not exist yet."""
+    path = new_work_path(spark, "stored")
+    key = F.col("doc_id").cast("string").alias("_id")
+    stored = table(spark, sf_dir, "documents").select(key, F.col("source").alias("keyword"))
+    tables.ensure_table(spark, path, stored.schema)
+    stored.write.mode("append").parquet(path)
+    labels = table(spark, sf_dir, "labels").select(
+        key, F.concat(F.lit("quality "), "quality").alias("keyword"), F.col("doc_id").alias("seq")
     )
-    tables.ensure_table(spark, path, docs.drop("seq").schema)
-    loaded = store.upsert(tables.read_table(spark, path, docs.drop("seq").schema), docs, "_id", ["seq"])
-    finished = new_work_path(spark, "bulk-final")
-    tables.compact(loaded, finished, "_id")
-    return tables.read_table(spark, finished).select("_id", F.md5(config.SOURCE_KEY).alias("keyword_md5"))
+    return store.upsert(tables.read_table(spark, path), labels, "_id", ["seq"])
 
 
 @query(
