@@ -9,6 +9,7 @@ from kindred import config
 from kindred.functions import vectors
 from kindred.operators.cells import build_cells, topk_cells, topk_probed, train_centroids
 from kindred.operators.centroids import group_means
+from kindred.operators.points import assemble_points
 from kindred.operators.topk import topk_join, topk_one
 from kindred.plans.registry import query, table
 from kindred.session import new_work_path
@@ -137,6 +138,20 @@ def result_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT 'v-' || vec_id AS point_id, CAST(label AS VARCHAR) AS label, len(embedding) AS dim FROM embeddings"""
+)
+def assembled_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors, custom ids and custom payloads from separate frames, paired by position."""
+    e = table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "pos")
+    points = assemble_points(
+        e.select("pos", F.col("embedding").alias("vector")),
+        ids=e.select("pos", F.concat(F.lit("v-"), "pos").alias("point_id")),
+        payloads=e.select("pos", F.create_map(F.lit("label"), F.col("label").cast("string")).alias("payload")),
+    )
+    return points.select("point_id", F.element_at("payload", "label").alias("label"), F.size("vector").cast("bigint").alias("dim"))
+
+
 @query(f"SELECT vec_id, round({_NORM}, 6) AS norm FROM embeddings")
 def vector_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select("vec_id", F.round(vectors.l2_norm(F.col("embedding")), 6).alias("norm"))

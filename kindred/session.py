@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 _shipped: set[str] = set()
+_own_roots: dict[str, str] = {}
 
 
 def build_session(app_name: str = "kindred", master: str | None = None, **conf: str) -> SparkSession:
@@ -57,12 +58,14 @@ def work_root(spark: SparkSession) -> str:
 
     A cluster names it in ``spark.checkpoint.dir``. Only where that is unset
     (tests, a laptop) a temporary folder of this machine is taken, once per
-    session.
+    application.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
-        root = tempfile.mkdtemp(prefix="kindred-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+        application = spark.sparkContext.applicationId
+        if application not in _own_roots:
+            _own_roots[application] = tempfile.mkdtemp(prefix="kindred-")
+        root = _own_roots[application]
     return root.rstrip("/")
 
 

@@ -10,6 +10,7 @@ from kindred.operators.fulltext import match
 from kindred.operators.generate import Template, generate_texts
 from kindred.operators.link import link_products, make_points, nest_links, search_distinct, search_texts
 from kindred.operators.numbering import dense_positions, first_rows, running_total
+from kindred.operators.points import assemble_documents, assemble_points
 from kindred.sources.tables import read_table
 from kindred.streaming import ingest
 
@@ -335,3 +336,47 @@ def test_documents_restart_ids_and_overwrite(spark, tmp_path):
     rows = ingest.current_rows(spark, table, "_id", within="pos").collect()
     assert sorted((r["_id"], r["keyword"]) for r in rows) == [("0", "d"), ("1", "b"), ("2", "c")]
     assert read_table(spark, table).count() == 4
+
+
+def test_count_and_append_id_modes(spark, tmp_path):
+    table = str(tmp_path / "points")
+    spark.createDataFrame([(0,), (1,), (8,)], "point_id bigint").write.parquet(f"{table}/batch_id=0")
+    assert ingest.next_id(spark, table, "point_id", 1, "append") == 9
+    assert ingest.next_id(spark, table, "point_id", 1, "count") == 3
+    assert ingest.next_id(spark, table, "point_id", 1, "restart") == 0
+    assert ingest.next_id(spark, table, "point_id", 0, "append") == 0
+    with pytest.raises(ValueError):
+        ingest.next_id(spark, table, "point_id", 1, "other")
+
+
+# --- pairing by position ---
+
+
+def test_points_and_documents_from_separate_frames(spark):
+    vectors = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(3)], "pos bigint, vector array<float>")
+    texts = spark.createDataFrame([(i, f"t{i}") for i in range(3)], "pos bigint, text string")
+    ids = spark.createDataFrame([(i, f"id{i}") for i in range(3)], "pos bigint, point_id string")
+    default = {r["point_id"]: r["payload"] for r in assemble_points(vectors, texts=texts, start_id=100).collect()}
+    assert default == {100: {"keyword": "t0"}, 101: {"keyword": "t1"}, 102: {"keyword": "t2"}}
+    custom = assemble_points(vectors, texts=texts, ids=ids, payload_key="name").collect()
+    assert {r["point_id"]: r["payload"] for r in custom} == {f"id{i}": {"name": f"t{i}"} for i in range(3)}
+    with pytest.raises(ValueError, match="ids has 2 rows, expected 3"):
+        assemble_points(vectors, texts=texts, ids=ids.limit(2))
+    with pytest.raises(ValueError, match="payloads has 1"):
+        assemble_points(vectors, payloads=ids.limit(1))
+    docs = assemble_documents(texts.withColumnRenamed("text", "name"), start_id=7).collect()
+    assert sorted((r["_id"], r["name"]) for r in docs) == [("7", "t0"), ("8", "t1"), ("9", "t2")]
+
+
+def test_work_folder_without_a_configured_one(spark, monkeypatch):
+    from kindred import session
+
+    class Unset:
+        sparkContext = spark.sparkContext
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    assert session.work_root(Unset) == session.work_root(Unset)
