@@ -380,3 +380,37 @@ def test_work_folder_without_a_configured_one(spark, monkeypatch):
                 return default
 
     assert session.work_root(Unset) == session.work_root(Unset)
+
+
+# --- the ways beyond the broadcast limits ---
+
+
+@pytest.fixture
+def nothing_is_small(spark, monkeypatch):
+    from kindred.operators import fulltext, link
+
+    def never(df, n_rows, max_rows=0):
+        return df
+
+    for module in (store, fulltext, link):
+        monkeypatch.setattr(module, "shipped", never)
+    monkeypatch.setattr(store, "MAX_DOCUMENT_ROWS", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_change_log_beyond_the_limit(spark, base, nothing_is_small):
+    test_change_log_equals_one_by_one_replay(spark, base)
+
+
+def test_merges_beyond_the_limit(spark, base, nothing_is_small):
+    test_upsert_last_write_wins_and_is_idempotent(spark, base)
+    test_partial_update_sets_given_fields_only(spark, base)
+    test_delete_ignores_unknown_ids(spark, base)
+
+
+def test_match_and_links_beyond_the_limit(spark, points, nothing_is_small):
+    test_match_any_token_ranked(spark)
+    test_links_collapse_equal_names_and_nest_in_order(spark, points)
