@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from kindred.session import materialize
 
-SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = "[\\x20\\x09-\\x0D]+"
-SYMBOLS = "#*$%&|<>"
+WORD_CHAR = "[^\\x20\\x09-\\x0D]"
+SYMBOL = "[#*$%&|<>]"
 WINDOW = 8
 
 
@@ -56,25 +56,29 @@ def features(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     words = F.filter(F.split(text, SPACE_RUN), lambda w: w != "")
-    lines = F.filter(F.split(text, "\n"), lambda line: F.translate(line, SPACES, "") != "")
+    lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD_CHAR))
     listed = docs.select(F.col(id_col).alias("doc_id"), *keep, text.alias("_text"), words.alias("_words"), lines.alias("_lines"))
-    # (hash, start) of every window, sorted: equal windows become neighbours
-    starts = F.expr(
-        f"""if(size(_words) < {WINDOW}, array(),
-            sort_array(transform(sequence(1, size(_words) - {WINDOW - 1}),
-                i -> struct(xxhash64(slice(_words, i, {WINDOW})) as h, i as i))))"""
+    hashes = F.expr(
+        f"""if(size(_words) < {WINDOW}, cast(array() as array<bigint>),
+            transform(sequence(1, size(_words) - {WINDOW - 1}), i -> xxhash64(slice(_words, i, {WINDOW}))))"""
     )
     counted = listed.select(
         "doc_id",
         *keep,
         F.size("_words").cast("bigint").alias("n_words"),
-        F.length(F.translate("_text", SPACES, "")).cast("bigint").alias("word_chars"),
-        (F.length("_text") - F.length(F.translate("_text", SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
+        F.length(F.array_join("_words", "")).cast("bigint").alias("word_chars"),
+        F.regexp_count("_text", F.lit(SYMBOL)).cast("bigint").alias("n_symbols"),
         F.size("_lines").cast("bigint").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"),
         "_words",
-        starts.alias("_windows"),
+        hashes.alias("_hashes"),
+    )
+    # where a hash repeats at all: (hash, start) of every window, sorted, so that equal windows become neighbours
+    starts = F.expr(
+        """if(size(array_distinct(_hashes)) = size(_hashes), array(),
+            sort_array(transform(_hashes, (h, i) -> struct(h as h, i + 1 as i))))"""
     )
+    counted = counted.withColumn("_windows", starts)
     # starts of windows that stand at another place too, in text order
     found = F.expr(
         f"""sort_array(transform(filter(_windows, (x, k) ->
@@ -87,7 +91,7 @@ def features(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         f"""aggregate(_found, struct(0L as n, -{WINDOW} as last),
                 (a, i) -> struct(a.n + least({WINDOW}, i - a.last) as n, i as last), a -> a.n)"""
     )
-    return counted.withColumn("_found", found).withColumn("n_repeat_words", covered).drop("_words", "_windows", "_found")
+    return counted.withColumn("_found", found).withColumn("n_repeat_words", covered).drop("_words", "_hashes", "_windows", "_found")
 
 
 def base_failed(min_words: int, max_repeat_percent: int) -> Column:
