@@ -130,3 +130,27 @@ def deduplicate(docs: DataFrame, index: DigestIndex, *, id_col: str = "doc_id",
             "text_sha256",
         )
     )
+
+
+def new_documents(docs: DataFrame, index: DigestIndex, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``deduplicate`` keeps, all columns as they are:
+    one row per digest that the index does not have yet. Their digests are
+    appended to ``index``."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    row_id = F.col(id_col).cast("bigint")
+    order = F.struct((-F.length(text)).alias("less"), row_id.isNull().alias("no_id"), row_id.alias("id"))
+    keyed = docs.select(text_digest(F.col(text_col)).alias("text_sha256"), order.alias("order"), F.struct(*docs.columns).alias("row"))
+    best = keyed.groupBy("text_sha256").agg(
+        F.min_by("row", "order").alias("row"), F.min("order").alias("order"), F.count(F.lit(1)).alias("group_size")
+    )
+    fresh = materialize(best.join(index.rows().select("text_sha256").hint("merge"), "text_sha256", "left_anti"), "fresh")
+    index.append(
+        fresh.select(
+            "text_sha256",
+            F.col("order.id").alias("keep_id"),
+            (-F.col("order.less")).cast("int").alias("keep_points"),
+            "group_size",
+            F.lit(uuid.uuid4().hex).alias("batch"),
+        )
+    )
+    return fresh.select("row.*")

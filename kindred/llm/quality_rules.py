@@ -47,6 +47,19 @@ RULES = (
 )
 
 
+#: Settings of ``judge`` and ``kept_documents``.
+DEFAULTS = {
+    "id_col": "doc_id",
+    "text_col": "text",
+    "stratum_col": "lang",
+    "rules": RULES,
+    "max_false_rejection": 0.02,
+    "error": 0.05,
+    "min_words": 20,
+    "max_repeat_percent": 30,
+}
+
+
 def features(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, the columns ``keep``, n_words, word_chars, n_symbols, n_lines,
     n_dup_lines, n_repeat_words of every whole text; null counts as no text.
@@ -146,42 +159,33 @@ def choose_cutoffs(
     return passed.groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
 
 
-def judge(
+def _judged(
     docs: DataFrame,
     labels: DataFrame,
+    carried: list[str],
     *,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    stratum_col: str | None = "lang",
-    rules: tuple[Rule, ...] = RULES,
-    max_false_rejection: float = 0.02,
-    error: float = 0.05,
-    min_words: int = 20,
-    max_repeat_percent: int = 30,
+    id_col: str,
+    text_col: str,
+    stratum_col: str | None,
+    rules: tuple[Rule, ...],
+    max_false_rejection: float,
+    error: float,
+    min_words: int,
+    max_repeat_percent: int,
 ) -> DataFrame:
-    """One row per row of ``docs`` with the features, base_failed and kept.
-
-    ``labels`` has ``id_col`` and ``quality`` (1: good). The holdout are the good
-    labelled documents that pass the base rules; whatever a rule says about a
-    document that fails them changes nothing.
-
-    Defined cases: a null text has no words and fails the base rule. A null
-    stratum is a stratum of its own. Rows with a null id are judged like others
-    but have no label. Repeated rows are judged each; repeated labels of one id
-    count once and as good only if all of them are good. A table of no labels
-    admits no cutoff. Statistics over zero words or lines reject nothing.
-    """
     stratum = F.coalesce(F.col(stratum_col).cast("string"), F.lit("")) if stratum_col else F.lit("")
-    taken = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), stratum.alias("stratum"))
+    # the columns that pass through travel in one struct, so no name can clash
+    row = F.struct(*carried) if carried else F.lit(None).cast("string")
+    taken = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), stratum.alias("stratum"), row.alias("row"))
     counted = materialize(
-        features(taken, keep=("stratum",)).withColumn("base_failed", base_failed(min_words, max_repeat_percent)), "quality-features"
+        features(taken, keep=("stratum", "row")).withColumn("base_failed", base_failed(min_words, max_repeat_percent)), "quality-features"
     )
     good = (
         labels.filter(F.col(id_col).isNotNull() & F.col("quality").isNotNull())
         .groupBy(F.col(id_col).alias("doc_id"))
         .agg((F.min("quality") == 1).alias("good"))
     )
-    labelled = counted.filter("not base_failed").join(good, "doc_id").dropDuplicates(["doc_id"])
+    labelled = counted.drop("row").filter("not base_failed").join(good, "doc_id").dropDuplicates(["doc_id"])
     cutoffs = choose_cutoffs(labelled, rules, max_false_rejection=max_false_rejection, error=error)
     wide = cutoffs.groupBy("stratum").pivot("rule", [r.name for r in rules]).agg(F.min("cutoff"))
     # one row per stratum and one column per rule: as small as the list of strata
@@ -189,8 +193,29 @@ def judge(
     rejected = F.lit(False)
     for i, rule in enumerate(rules):
         rejected = rejected | F.coalesce(F.expr(rule.statistic) > F.col(f"_cut_{i}"), F.lit(False))
-    return (
-        counted.join(wide, "stratum", "left")
-        .withColumn("kept", ~F.col("base_failed") & ~rejected)
-        .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "stratum")
+    return counted.join(wide, "stratum", "left").withColumn("kept", ~F.col("base_failed") & ~rejected)
+
+
+def judge(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
+    """One row per row of ``docs`` with the features, base_failed and kept.
+
+    ``settings`` overrides ``DEFAULTS``. ``labels`` has ``id_col`` and ``quality`` (1: good). The holdout are the good
+    labelled documents that pass the base rules; whatever a rule says about a
+    document that fails them changes nothing.
+
+    Defined cases: a null text has no words and fails the base rule. A null
+    stratum is a stratum of its own. Rows with a null id are judged like others
+    but have no label. Repeated rows are judged each; repeated labels of one id
+    count once and as good only if all of them are good. A table of no labels
+    admits no cutoff. Statistics over zero words or lines reject nothing.
+    """
+    judged = _judged(docs, labels, [], **{**DEFAULTS, **settings})
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "stratum"
     )
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, all columns as they are."""
+    judged = _judged(docs, labels, docs.columns, **{**DEFAULTS, **settings})
+    return judged.filter("kept").select("row.*")

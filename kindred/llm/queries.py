@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from kindred.llm import bpe, packing
+from kindred.llm.dom_model import extract_text
 from kindred.llm.exact_dedup import DigestIndex, deduplicate
+from kindred.llm.line_crf import fit_field, score_documents
 from kindred.llm.quality_rules import judge
 from kindred.llm.registry import query, table
 from kindred.llm.repeats import remove_repeats
@@ -53,6 +54,17 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES, keep=("page_id",))
 
 
+@query()
+def op6_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_documents(docs, fit_field(docs, table(spark, sf_dir, "labels")))
+
+
+@query()
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 @query(WARC_SQL)
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = write_archives(table(spark, sf_dir, "pages"), archive_folder(spark))

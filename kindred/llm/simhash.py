@@ -201,6 +201,12 @@ def links(distinct: DataFrame) -> DataFrame:
     return keyed.repartition("s", "bytes").sortWithinPartitions("s", "bytes").mapInPandas(linked, "a bigint, b bigint")
 
 
+def _named(distinct: DataFrame) -> DataFrame:
+    """fp, root (its component's smallest fingerprint) of every distinct fingerprint."""
+    components = connected_components(links(distinct))
+    return distinct.join(components.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id of every row.
 
@@ -215,10 +221,31 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     marked = materialize(fingerprints(docs, id_col=id_col, text_col=text_col), "fingerprints")
     distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    components = connected_components(links(distinct))
     # least id of each component, then of each fingerprint
-    rooted = distinct.join(components.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = materialize(_named(distinct), "rooted")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = materialize(rooted.join(least, "root").select("fp", "component_id"), "components")
     # one row per fingerprint against all rows: a hot one is split by the adaptive join
     return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` of each group of near-duplicates, the one with the
+    smallest id, all columns as they are. A row without an id stays only where
+    its group has no other."""
+    text = F.pandas_udf(_fingerprint_column, "bigint")
+    row_id = F.col(id_col).cast("bigint")
+    marked = materialize(
+        docs.select(row_id.alias("id"), text(F.coalesce(F.col(text_col), F.lit(""))).alias("fp"), F.struct(*docs.columns).alias("row")),
+        "marked",
+    )
+    first = F.struct(F.col("id").isNull().alias("no_id"), "id")
+    distinct = materialize(marked.groupBy("fp").agg(F.min(first).alias("first")), "distinct")
+    rooted = _named(distinct)
+    keep = rooted.groupBy("root").agg(F.min(F.struct("first", "fp")).alias("k")).select(F.col("k.fp").alias("fp"), F.col("k.first.id").alias("keep_id"))
+    kept = marked.join(keep, (marked.fp == keep.fp) & marked.id.eqNullSafe(keep.keep_id)).select(marked.fp, "row")
+    return kept.dropDuplicates(["fp"]).select("row.*")
+
+
+def _fingerprint_column(texts: pd.Series) -> pd.Series:
+    return pd.Series(np.array([fingerprint(text) for text in texts], np.uint64).view(np.int64))
