@@ -228,7 +228,7 @@ def train_dictionary(pages: DataFrame, html_col: str) -> bytes:
     if len(rows) < 16:
         return b""
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, rows).as_bytes()
+        return zstandard.train_dictionary(max(256, min(DICTIONARY_BYTES, sum(map(len, rows)) // 10)), rows).as_bytes()
     except zstandard.ZstdError:  # the sample has too little in it
         return b""
 
