@@ -205,7 +205,7 @@ class _ArchiveWriter:
         if self.stream is None:
             self.name = f"{uuid.uuid4().hex}.warc.zst"
             self.fs.create_dir(self.folder, recursive=True)
-            self.stream = self.fs.open_output_stream(f"{self.folder}/{self.name}")
+            self.stream = self.fs.open_output_stream(f"{self.folder}/{self.name}", compression=None)
             if self.dictionary:
                 self.stream.write(dictionary_frame(self.dictionary))
             self.bytes = self.records = 0
@@ -224,7 +224,7 @@ def train_dictionary(pages: DataFrame, html_col: str) -> bytes:
     """Dictionary from a bounded sample of payloads; empty where the sample is too small."""
     sample = pages.select(F.substring(F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8"), 1, DICTIONARY_ROW_BYTES).alias("b"))
     rows = [bytes(row.b) for row in sample.limit(DICTIONARY_ROWS).collect()]
-    rows = [row for row in rows if row]
+    rows = [row for row in rows if len(row) >= 64]
     if len(rows) < 16:
         return b""
     try:
@@ -317,7 +317,7 @@ def read_archives(archives: DataFrame, *, with_payload: bool = False) -> DataFra
                 fs, path = pafs.FileSystem.from_uri(uri)
                 rows: list[tuple] = []
                 held = 0
-                with fs.open_input_stream(path) as stream:
+                with fs.open_input_stream(path, compression=None) as stream:
                     for record in read_records(stream, uri):
                         headers = record.headers
                         response = record.type == "response"
