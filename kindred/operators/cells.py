@@ -32,6 +32,7 @@ from kindred.operators.topk import (
     FLOAT_BYTES,
     PART_BYTES,
     best_per_query,
+    has_size,
     point_side,
     query_side,
     topk_in_cells,
@@ -71,21 +72,23 @@ def build_cells(
     points: DataFrame, centroids: np.ndarray, dim: int, *, point_id: str = "point_id", vector: str = "vector"
 ) -> CellIndex:
     """Assign every point and write the index table, laid out by cell."""
-    p = point_side(points, point_id, vector)
+    p = point_side(points, point_id, vector).filter(has_size(F.col("p_vec"), dim))
     shared = p.sparkSession.sparkContext.broadcast(centroids)
 
     @F.arrow_udf("struct<cell: int, angle: double>")
     def nearest(vectors: Iterator[pa.Array]) -> Iterator[pa.Array]:
         centers = shared.value
         for batch in vectors:
-            angles = _angles(matrix_of(batch, dim), centers)
-            cell = angles.argmin(axis=1)
+            matrix = matrix_of(batch, dim)
+            angles = _angles(np.nan_to_num(matrix), centers)
+            # a vector with an entry that is no number belongs to no cell
+            cell = np.where(np.isfinite(matrix).all(axis=1), angles.argmin(axis=1), -1)
             yield pa.StructArray.from_arrays(
                 [pa.array(cell.astype(np.int32)), pa.array(angles[np.arange(len(cell)), cell])], ["cell", "angle"]
             )
 
     assigned = p.withColumn("at", nearest("p_vec")).select("point_id", "p_vec", "at.cell", "at.angle")
-    table = materialize(assigned, "cells")
+    table = materialize(assigned.filter(F.col("cell") >= 0), "cells")
     sizes = materialize(
         table.groupBy("cell").agg(F.count(F.lit(1)).alias("n_points"), F.max("angle").alias("radius")), "cell-sizes"
     )
@@ -102,7 +105,7 @@ def topk_probed(
     query_vector: str = "vector",
     part_bytes: int = PART_BYTES,
 ) -> DataFrame:
-    q = query_side(queries, query_id, query_vector)
+    q = _usable(query_side(queries, query_id, query_vector), index.dim)
     return best_per_query(_search(_nearest_cells(q, index, nprobe), index, k, part_bytes), k)
 
 
@@ -116,7 +119,7 @@ def topk_cells(
     query_vector: str = "vector",
     part_bytes: int = PART_BYTES,
 ) -> DataFrame:
-    q = query_side(queries, query_id, query_vector)
+    q = _usable(query_side(queries, query_id, query_vector), index.dim)
     first = materialize(
         best_per_query(_search(_nearest_cells(q, index, nprobe), index, k, part_bytes), k), "first-probe"
     )
@@ -131,9 +134,17 @@ def topk_cells(
     return best_per_query(first.select("query_id", "score", "point_id").unionByName(second), k)
 
 
+def _usable(q: DataFrame, dim: int) -> DataFrame:
+    """Queries with a vector of the right size whose entries are numbers."""
+    total = F.aggregate("q_vec", F.lit(0.0), lambda a, x: a + F.abs(x.cast("double")))
+    return q.filter(has_size(F.col("q_vec"), dim)).filter(total < float("inf"))
+
+
 def _angles(matrix: np.ndarray, centers: np.ndarray) -> np.ndarray:
     unit = matrix / norms_of(matrix)[:, None]
-    return np.arccos(np.clip(unit @ centers.T.astype(np.float64), -1.0, 1.0))
+    # stored centroids are rounded; angles need them at unit length in full precision
+    centers = centers.astype(np.float64)
+    return np.arccos(np.clip(unit @ (centers / norms_of(centers)[:, None]).T, -1.0, 1.0))
 
 
 def _nearest_cells(q: DataFrame, index: CellIndex, nprobe: int) -> DataFrame:

@@ -9,7 +9,8 @@ from kindred.session import materialize
 from kindred.sources.results import write_json_lines
 
 LETTER_SCHEMA = (
-    "batch_id bigint, error_type string, error_message string, timestamp timestamp, count int, texts array<string>"
+    "batch_id bigint, error_type string, error_message string, timestamp timestamp, count int, texts array<string>, "
+    "positions array<bigint>"
 )
 
 
@@ -21,7 +22,7 @@ def route_outcomes(outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def dead_letters(failed: DataFrame) -> DataFrame:
-    """One record per failed batch with its texts in order and its last error.
+    """One record per failed batch with its texts in order, where they stood, and its last error.
     Groups are bounded by the batch size."""
     last = F.element_at("errors", -1)
     placed = F.array_sort(F.collect_list(F.struct("pos", "text")))
@@ -35,13 +36,15 @@ def dead_letters(failed: DataFrame) -> DataFrame:
             "last.timestamp",
             "count",
             F.transform("placed", lambda p: p["text"]).alias("texts"),
+            F.transform("placed", lambda p: p["pos"]).alias("positions"),
         )
     )
 
 
 def attempt_records(outcomes: DataFrame) -> DataFrame:
     """One record per failed attempt of a batch, retried or final."""
-    first_of_batch = outcomes.filter(F.col("pos") == F.col("batch_id"))
+    # every row of a batch carries the same list
+    first_of_batch = outcomes.groupBy("batch_id").agg(F.first("errors").alias("errors"))
     return first_of_batch.select("batch_id", F.explode("errors").alias("error")).select("batch_id", "error.*")
 
 
@@ -56,7 +59,7 @@ def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
 
 
 def letters_to_texts(letters: DataFrame) -> DataFrame:
-    """Texts of dead letters as a source for another run, at their old positions."""
-    return letters.select("batch_id", F.posexplode("texts").alias("place", "text")).select(
-        (F.col("batch_id") + F.col("place")).alias("pos"), "text"
-    )
+    """Texts of dead letters as a source for another run, at their old positions.
+    Letters of files without positions count from their batch number."""
+    place = F.coalesce(F.get("positions", F.col("place")), F.col("batch_id") + F.col("place"))
+    return letters.select("batch_id", "positions", F.posexplode("texts").alias("place", "text")).select(place.alias("pos"), "text")

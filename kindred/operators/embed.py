@@ -154,7 +154,7 @@ def embed_outcomes(
 
     def tried(batch: pa.Table, model: EmbedFn) -> pa.Table:
         n = batch.num_rows
-        texts = [prefix + t for t in batch["text"].to_pylist()]
+        texts = batch["text"].to_pylist()
         started = time.perf_counter()
         errors: list[dict] = []
         vectors = None
@@ -162,8 +162,8 @@ def embed_outcomes(
         while vectors is None and attempt < retry.max_attempts:
             attempt += 1
             try:
-                vectors = checked(model(texts), n, dim)
-            except Exception as error:  # every model error is data here
+                vectors = checked(model([prefix + t for t in texts]), n, dim)
+            except Exception as error:  # every model error is data here, and so is a null text
                 errors.append(
                     {
                         "attempt": attempt,

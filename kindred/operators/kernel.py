@@ -16,7 +16,7 @@ RERANK_PAIRS = 1 << 16
 
 
 def matrix_of(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
-    """Arrow ``list<float>`` column as an (n, dim) float32 matrix."""
+    """Arrow ``list<float>`` column as an (n, dim) float32 matrix; null entries are NaN."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if len(column) == 0:
@@ -65,9 +65,13 @@ def surplus_copies(ids: np.ndarray, matrix: np.ndarray, k: int) -> np.ndarray:
 
 
 class PointBlock:
-    """Points prepared for scoring."""
+    """Points prepared for scoring. Points with an entry that is no number match
+    nothing and are left out here, before they can take a place among the best."""
 
     def __init__(self, ids: np.ndarray, matrix: np.ndarray, k: int) -> None:
+        finite = np.isfinite(matrix).all(axis=1)
+        if not finite.all():
+            ids, matrix = ids[finite], matrix[finite]
         keep = ~surplus_copies(ids, matrix, k)
         if not keep.all():
             ids, matrix = ids[keep], matrix[keep]

@@ -48,4 +48,7 @@ def _paired(first: DataFrame, others: dict[str, DataFrame | None]) -> DataFrame:
         if n_other != n:
             raise ValueError(f"{name} has {n_other} rows, expected {n}")
         joined = joined.join(df, "pos")
+    n_joined = joined.count() if given else n
+    if n_joined != n:
+        raise ValueError(f"{n_joined} of {n} positions have a partner in {' and '.join(given)}")
     return joined

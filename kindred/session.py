@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -11,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+_ONE_PROCESS = re.compile(r"local(\[.*\])?$")
+
 _shipped: set[str] = set()
 _own_roots: dict[str, str] = {}
 
@@ -56,15 +60,19 @@ def ship_package(spark: SparkSession) -> None:
 def work_root(spark: SparkSession) -> str:
     """Folder that driver and executors share.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (tests, a laptop) a temporary folder of this machine is taken, once per
-    application.
+    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset and
+    all executors are threads of this machine's process (tests, a laptop) a
+    temporary folder is taken, once per application, and removed at the end.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
+        master = spark.sparkContext.master
+        if not _ONE_PROCESS.match(master):
+            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors of {master} share")
         application = spark.sparkContext.applicationId
         if application not in _own_roots:
             _own_roots[application] = tempfile.mkdtemp(prefix="kindred-")
+            atexit.register(shutil.rmtree, _own_roots[application], ignore_errors=True)
         root = _own_roots[application]
     return root.rstrip("/")
 

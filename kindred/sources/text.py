@@ -2,9 +2,11 @@
 
 Every reader returns ``pos`` (dense number in scan order, from 0), ``row_id``
 (the id a row gets when files are read in chunks, see ``read_parquet_texts``),
-``chunk_id`` and ``text``. Numbers come from file metadata in closed form: only
-one count per file (or split) is windowed, the rows themselves are neither
-sorted nor shuffled.
+``chunk_id`` and ``text``. Parquet rows are numbered from file metadata in closed
+form: one count per file is windowed, rows are neither sorted nor shuffled. Lines
+are written once with their place in the split that read them and numbered from
+the written rows, so numbers cannot depend on how a second scan is split; where
+blank lines are left out, the rest is numbered again inside each split.
 """
 
 from __future__ import annotations
@@ -104,9 +106,9 @@ def read_parquet_texts(
     else:
         offsets = file_offsets(df, chunk_rows)
         if limit > 0:
-            # the files a limited scan touches, a prefix of the file list
-            needed = [row["file"] for row in offsets.filter(F.col("rows_before") < limit).select("file").collect()]
-            df = spark.read.schema(df.schema).parquet(*needed)
+            # a limited scan touches a prefix of the file list; files behind it are pruned
+            last = offsets.filter(F.col("rows_before") < limit).agg(F.max("file")).first()[0]
+            df = df.filter(F.col("_metadata.file_path") <= F.lit(last))
         located = _located(df, text_column, keep).join(shipped(offsets.drop("n_rows"), n_files), "file")
     chunk_id = F.col("chunks_before") + F.floor(F.col("row_in_file") / chunk_rows)
     numbered = located.select(
@@ -163,8 +165,9 @@ def _as_source(lines: DataFrame) -> DataFrame:
 def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with their number over all files. The generated id rises by one
     per line inside a file split, so a line's number is the lines before its
-    split plus its distance from the split's first id."""
-    lines = (
+    split plus its distance from the split's first id. Lines and ids are written
+    by one scan: another scan may split the files differently."""
+    scanned = (
         spark.read.option("recursiveFileLookup", "false")
         .text(path)
         .select(
@@ -174,6 +177,7 @@ def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
             F.monotonically_increasing_id().alias("line"),
         )
     )
+    lines = materialize(scanned, "lines")
     splits = _with_rows_before(
         lines.groupBy("file", "split").agg(F.min("line").alias("first_line"), F.count(F.lit(1)).alias("n"))
     )

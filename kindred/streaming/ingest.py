@@ -37,7 +37,7 @@ def text_stream(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path).select(
         F.col(text_column).alias("text"),
-        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.row_index").alias("row_in_file"),
     )
 
@@ -89,7 +89,8 @@ def next_id(spark: SparkSession, table: str, key: str, number: int, id_mode: str
         return earlier.select(key).distinct().count()
     if id_mode != "append":
         raise ValueError(f"unknown id mode: {id_mode}")
-    largest = earlier.agg(F.max(key)).first()[0]
+    # ids that are no numbers were given by somebody else and do not count
+    largest = earlier.agg(F.max(F.col(key).cast("string").try_cast("bigint"))).first()[0]
     return 0 if largest is None else int(largest) + 1
 
 
@@ -106,13 +107,21 @@ def vector_step(
     return step
 
 
-def document_step(*, doc_id: Column | None = None, source_key: str = config.SOURCE_KEY) -> BatchStep:
-    """Documents ``_id`` and ``source_key``; ids are given, or the position as
-    a string, counted from 0 in every batch."""
+def document_step(
+    table: str | None = None, *, doc_id: Column | None = None, id_mode: str = "append", source_key: str = config.SOURCE_KEY
+) -> BatchStep:
+    """Documents ``_id`` and ``source_key``. Ids are given, or numbers as strings
+    by ``id_mode`` (see ``next_id``): behind those of ``table`` unless stated
+    otherwise; with ``restart`` every batch replaces rows of the one before."""
+    if doc_id is None and table is None and id_mode != "restart":
+        raise ValueError(f"id_mode {id_mode!r} needs the table, to go on behind its ids")
 
     def step(batch: DataFrame, number: int) -> DataFrame:
         rows = batch_positions(batch)
-        key = F.col("pos").cast("string") if doc_id is None else doc_id
+        key = doc_id
+        if key is None:
+            first = 0 if table is None else next_id(batch.sparkSession, table, "_id", number, id_mode)
+            key = (F.col("pos") + F.lit(first).cast("bigint")).cast("string")
         return rows.select(key.alias("_id"), F.col("text").alias(source_key), "pos")
 
     return step

@@ -328,11 +328,34 @@ def test_incremental_vectors_continue_ids_and_replay_changes_nothing(spark, tmp_
     assert len(state()) == 5
 
 
+def test_documents_get_ids_behind_the_earlier_ones(spark, tmp_path):
+    source, table = str(tmp_path / "in"), str(tmp_path / "docs")
+    for texts in (["a", "b", "c"], ["d"], ["e", "f"]):
+        write_texts(spark, source, texts)
+        ingest.run_ingest(ingest.text_stream(spark, source), table, ingest.document_step(table))
+    rows = ingest.current_rows(spark, table, "_id", within="pos").collect()
+    assert sorted((r["_id"], r["keyword"]) for r in rows) == [(str(i), t) for i, t in enumerate("abcdef")]
+    with pytest.raises(ValueError):
+        ingest.document_step()
+
+
+def test_equal_file_names_of_two_folders_keep_their_rows(spark, tmp_path):
+    for folder in ("p=1", "p=2"):
+        spark.createDataFrame([(f"{folder} {i}",) for i in range(50)], "keyword string").coalesce(1).write.parquet(str(tmp_path / "raw" / folder))
+        part = next((tmp_path / "raw" / folder).glob("*.parquet"))
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        (tmp_path / "in" / folder / "same name.parquet").write_bytes(part.read_bytes())
+    table = str(tmp_path / "docs")
+    ingest.run_ingest(ingest.text_stream(spark, str(tmp_path / "in")), table, ingest.document_step(table))
+    rows = ingest.current_rows(spark, table, "_id", within="pos")
+    assert rows.count() == 100 and rows.select("keyword").distinct().count() == 100
+
+
 def test_documents_restart_ids_and_overwrite(spark, tmp_path):
     source, table = str(tmp_path / "in"), str(tmp_path / "docs")
     for texts in (["a", "b", "c"], ["d"]):
         write_texts(spark, source, texts)
-        ingest.run_ingest(ingest.text_stream(spark, source), table, ingest.document_step())
+        ingest.run_ingest(ingest.text_stream(spark, source), table, ingest.document_step(id_mode="restart"))
     rows = ingest.current_rows(spark, table, "_id", within="pos").collect()
     assert sorted((r["_id"], r["keyword"]) for r in rows) == [("0", "d"), ("1", "b"), ("2", "c")]
     assert read_table(spark, table).count() == 4
