@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kindred import config
 from kindred.functions.binding import once
@@ -18,6 +23,9 @@ B = 0.75
 # Sums arrive in any order; rounding makes equal documents score equal.
 SCORE_DIGITS = 9
 
+# Terms of all queries that are shipped to every task at most.
+MAX_SHIPPED_TERMS = 200_000
+
 # Token of the row that carries a document's length; no text has it.
 LENGTH_ROW = ""
 
@@ -119,12 +127,63 @@ def match(
     idf = F.log1p((F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     terms = asked.join(frequency, "token").select("query_id", "token", (F.col("weight") * idf).alias("idf"))
     saturation = F.col("tf") / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.lit(avg_dl)))
-    scored = (
-        hits.select("doc_id", "token", saturation.alias("saturation"))
-        .join(shipped(terms, n_terms), "token")
-        .groupBy("query_id", "doc_id")
-        .agg(F.round(F.sum(F.col("idf") * F.col("saturation")), SCORE_DIGITS).alias("score"))
-    )
+    weighed = hits.select("doc_id", "token", saturation.alias("saturation"))
+    if n_terms <= MAX_SHIPPED_TERMS:
+        scored = _score_in_rows(weighed, terms, size)
+    else:
+        # too many terms to ship: one group per query and document
+        scored = (
+            weighed.join(terms, "token")
+            .groupBy("query_id", "doc_id")
+            .agg(F.round(F.sum(F.col("idf") * F.col("saturation")), SCORE_DIGITS).alias("score"))
+        )
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
     ranked = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= size)
     return ranked.select("query_id", "rank", "score", "doc_id")
+
+
+def _score_in_rows(weighed: DataFrame, terms: DataFrame, size: int) -> DataFrame:
+    """query_id, doc_id, score of every task's best ``size`` documents per query.
+
+    A document's postings come together in one row, the counted terms of the
+    queries are shipped, and each batch of documents is scored as a sparse
+    product; no row per query and document leaves a task.
+    """
+    spark = weighed.sparkSession
+    rows = terms.toPandas()
+    rows = rows.iloc[np.argsort(rows["token"].to_numpy().astype(str), kind="stable")]
+    query_ids, query = np.unique(rows["query_id"].to_numpy(), return_inverse=True)
+    words, start = np.unique(rows["token"].to_numpy().astype(str), return_index=True)
+    place = {word: i for i, word in enumerate(words.tolist())}
+    shared = spark.sparkContext.broadcast((place, np.append(start, len(rows)), query, rows["idf"].to_numpy(), query_ids))
+    documents = weighed.groupBy("doc_id").agg(F.collect_list("token").alias("words"), F.collect_list("saturation").alias("weights"))
+    schema = T.StructType([terms.schema["query_id"], documents.schema["doc_id"], T.StructField("score", T.DoubleType())])
+
+    def best(frame: pd.DataFrame) -> pd.DataFrame:
+        ranked = frame.sort_values(["query", "score", "doc_id"], ascending=[True, False, True], kind="stable")
+        return ranked[ranked.groupby("query").cumcount() < size]
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place, bounds, of_query, idf, ids = shared.value
+        held = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            n = batch["words"].map(len).to_numpy()
+            word = np.fromiter((place[w] for own in batch["words"] for w in own), np.int64, n.sum())
+            weight = np.concatenate([np.asarray(w, float) for w in batch["weights"]])
+            doc = np.repeat(np.arange(len(batch)), n)
+            # each posting meets the queries of its word
+            times = bounds[word + 1] - bounds[word]
+            at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(bounds[word], times)
+            pair = of_query[at] * len(batch) + np.repeat(doc, times)
+            pairs, back = np.unique(pair, return_inverse=True)
+            total = np.bincount(back, idf[at] * np.repeat(weight, times), len(pairs))
+            found = pd.DataFrame(
+                {"query": pairs // len(batch), "doc_id": batch["doc_id"].to_numpy()[pairs % len(batch)], "score": total.round(SCORE_DIGITS)}
+            )
+            held = best(found if held is None else pd.concat([held, found]))
+        if held is not None and len(held):
+            yield pd.DataFrame({"query_id": ids[held["query"].to_numpy()], "doc_id": held["doc_id"].to_numpy(), "score": held["score"].to_numpy()})
+
+    return documents.mapInPandas(score, schema)
