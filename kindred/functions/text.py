@@ -15,10 +15,11 @@ PREFIXES = {
 
 # Scripts whose characters are no part of a word: Han and Hiragana characters
 # are tokens of their own, Katakana runs stay together. Latin-1 letters come
-# first in the word class, the cheap test for most text.
+# first in the word class, the cheap test for most text; combining marks stay with
+# their letters.
 _SINGLE = r"\p{IsHan}\p{IsHiragana}"
 _RUN = r"\p{IsKatakana}ー"
-TOKEN_PATTERN = rf"[a-z0-9ß-öø-ÿ[\p{{L}}\p{{N}}&&[^{_SINGLE}{_RUN}]]]+|[{_RUN}]+|[{_SINGLE}]"
+TOKEN_PATTERN = rf"[a-z0-9ß-öø-ÿ[\p{{L}}\p{{N}}\p{{M}}&&[^{_SINGLE}{_RUN}]]]+|[{_RUN}]+|[{_SINGLE}]"
 
 
 def with_prefix(text: Column, prefix: str | None = None, mode: str = "query") -> Column:

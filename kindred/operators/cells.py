@@ -23,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.functions.vectors import l2_normalize
@@ -32,7 +32,6 @@ from kindred.operators.topk import (
     FLOAT_BYTES,
     PART_BYTES,
     best_per_query,
-    has_size,
     point_side,
     query_side,
     topk_in_cells,
@@ -40,7 +39,6 @@ from kindred.operators.topk import (
 from kindred.session import materialize
 
 CENTROID_BYTES = 64 << 20
-TRAINING_ROWS_PER_CELL = 256
 ANGLE_SLACK = 1e-5
 
 
@@ -53,16 +51,43 @@ class CellIndex:
     sizes: DataFrame
     dim: int
 
-
-def train_centroids(points: DataFrame, n_cells: int, dim: int, *, vector: str = "vector", seed: int = 42) -> np.ndarray:
-    """K-means centroids on unit vectors. Only the position of the cell borders
-    comes from the training sample; all points are assigned afterwards."""
+    def save(self, path: str) -> None:
+        """Points laid out by cell, cell sizes and centroids as tables below ``path``."""
+        spark = self.points.sparkSession
+        self.points.repartition("cell").write.mode("overwrite").partitionBy("cell").parquet(f"{path}/points")
+        self.sizes.write.mode("overwrite").parquet(f"{path}/sizes")
+        # bounded: CENTROID_BYTES
+        rows = [(i, [float(x) for x in c]) for i, c in enumerate(self.centroids)]
+        spark.createDataFrame(rows, "cell int, center array<float>").coalesce(1).write.mode("overwrite").parquet(f"{path}/centroids")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> CellIndex:
+        rows = spark.read.parquet(f"{path}/centroids").orderBy("cell").collect()
+        centroids = np.array([r["center"] for r in rows], dtype=np.float32)
+        points = spark.read.parquet(f"{path}/points").select("point_id", "p_vec", "cell")
+        return cls(centroids, points, spark.read.parquet(f"{path}/sizes"), centroids.shape[1])
+
+    def extended(self, points: DataFrame, *, point_id: str = "point_id", vector: str = "vector") -> CellIndex:
+        """The index with further points, assigned to the centroids it has."""
+        more = build_cells(points, self.centroids, self.dim, point_id=point_id, vector=vector)
+        both = self.sizes.unionByName(more.sizes).groupBy("cell")
+        sizes = both.agg(F.sum("n_points").alias("n_points"), F.max("radius").alias("radius"))
+        return CellIndex(self.centroids, self.points.unionByName(more.points), materialize(sizes, "cell-sizes"), self.dim)
+
+
+def train_centroids(
+    points: DataFrame, n_cells: int, dim: int, *, vector: str = "vector", seed: int = 42, training_rows: int | None = None
+) -> np.ndarray:
+    """K-means centroids on unit vectors, fitted on all usable points, or on about
+    ``training_rows`` of them taken by a hash of the vector (so the choice does not
+    depend on how the table is stored). All points are assigned afterwards."""
     if n_cells * dim * FLOAT_BYTES > CENTROID_BYTES:
         raise ValueError(f"{n_cells} centroids of {dim} entries exceed the size every task may hold")
-    n_points = points.count()
-    share = min(1.0, TRAINING_ROWS_PER_CELL * n_cells / max(1, n_points))
-    unit = points.select(array_to_vector(l2_normalize(F.col(vector))).alias("features"))
-    training = unit if share == 1.0 else unit.sample(False, share, seed)
+    usable = _usable(points.select(F.col(vector).cast("array<float>").alias("q_vec")))
+    if training_rows is not None:
+        share = min(1.0, training_rows / max(1, usable.count()))
+        usable = usable.filter(F.pmod(F.xxhash64("q_vec"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    training = usable.select(array_to_vector(l2_normalize(F.col("q_vec"))).alias("features"))
     model = KMeans(k=n_cells, seed=seed, maxIter=10, distanceMeasure="cosine").fit(training)
     centroids = np.asarray(model.clusterCenters(), dtype=np.float64)
     return (centroids / norms_of(centroids)[:, None]).astype(np.float32)
@@ -72,7 +97,7 @@ def build_cells(
     points: DataFrame, centroids: np.ndarray, dim: int, *, point_id: str = "point_id", vector: str = "vector"
 ) -> CellIndex:
     """Assign every point and write the index table, laid out by cell."""
-    p = point_side(points, point_id, vector).filter(has_size(F.col("p_vec"), dim))
+    p = point_side(points, point_id, vector).filter("p_vec is not null")
     shared = p.sparkSession.sparkContext.broadcast(centroids)
 
     @F.arrow_udf("struct<cell: int, angle: double>")
@@ -105,7 +130,7 @@ def topk_probed(
     query_vector: str = "vector",
     part_bytes: int = PART_BYTES,
 ) -> DataFrame:
-    q = _usable(query_side(queries, query_id, query_vector), index.dim)
+    q = _usable(query_side(queries, query_id, query_vector))
     return best_per_query(_search(_nearest_cells(q, index, nprobe), index, k, part_bytes), k)
 
 
@@ -119,7 +144,7 @@ def topk_cells(
     query_vector: str = "vector",
     part_bytes: int = PART_BYTES,
 ) -> DataFrame:
-    q = _usable(query_side(queries, query_id, query_vector), index.dim)
+    q = _usable(query_side(queries, query_id, query_vector))
     first = materialize(
         best_per_query(_search(_nearest_cells(q, index, nprobe), index, k, part_bytes), k), "first-probe"
     )
@@ -134,10 +159,10 @@ def topk_cells(
     return best_per_query(first.select("query_id", "score", "point_id").unionByName(second), k)
 
 
-def _usable(q: DataFrame, dim: int) -> DataFrame:
-    """Queries with a vector of the right size whose entries are numbers."""
+def _usable(q: DataFrame) -> DataFrame:
+    """Queries with a vector whose entries are numbers."""
     total = F.aggregate("q_vec", F.lit(0.0), lambda a, x: a + F.abs(x.cast("double")))
-    return q.filter(has_size(F.col("q_vec"), dim)).filter(total < float("inf"))
+    return q.filter(total < float("inf"))
 
 
 def _angles(matrix: np.ndarray, centers: np.ndarray) -> np.ndarray:

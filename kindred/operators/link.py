@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 
 from kindred import config
 from kindred.functions.text import payload_value
+from kindred.operators.cells import CellIndex, topk_cells, topk_probed
 from kindred.operators.embed import EmbedFactory, embed
 from kindred.operators.sizes import shipped
 from kindred.operators.topk import topk_join
+from kindred.session import materialize
+
+# Cells that an exact search opens before it bounds the rest.
+FIRST_PROBE = 4
 
 
 def make_points(
@@ -39,12 +44,22 @@ def search_texts(
     query: str = "query",
     prefix: str = "",
     payload_key: str = config.PAYLOAD_KEY,
+    index: CellIndex | None = None,
+    nprobe: int | None = None,
     **search: object,
 ) -> DataFrame:
     """Ranked hits of text queries: ``query_id, query, rank, score, <payload_key>,
-    point_id, payload``. A query without hits keeps one row with null rank."""
+    point_id, payload``. A query without hits keeps one row with null rank.
+
+    With an ``index`` over the points the search goes through its cells: exact,
+    or approximate over the ``nprobe`` nearest cells if that is given."""
     embedded = embed(queries.select(query_id, query), query, factory, dim, prefix=prefix)
-    hits = topk_join(embedded, points, top_k, dim, query_id=query_id, **search)
+    if index is None:
+        hits = topk_join(embedded, points, top_k, dim, query_id=query_id, **search)
+    elif nprobe is None:
+        hits = topk_cells(embedded, index, top_k, FIRST_PROBE, query_id=query_id, **search)
+    else:
+        hits = topk_probed(embedded, index, top_k, nprobe, query_id=query_id, **search)
     # hits of few queries go to the points, not the points through a shuffle
     few = shipped(hits, queries.count() * top_k)
     with_payload = points.select("point_id", "payload").join(few, "point_id")
@@ -117,7 +132,9 @@ def nest_links(links: DataFrame) -> DataFrame:
 
 def trace_keywords(documents: DataFrame, points: DataFrame) -> DataFrame:
     """Every nested keyword joined back to the vector it came from."""
-    flat = documents.select("product_name", F.posexplode("keywords").alias("place", "hit"))
-    return flat.select(
+    flat = documents.select("product_name", F.posexplode("keywords").alias("place", "hit")).select(
         "product_name", (F.col("place") + 1).alias("rank"), F.col("hit.keyword_id").alias("point_id"), F.col("hit.score").alias("score")
-    ).join(points, "point_id")
+    )
+    # links are written once and counted: few go to the vectors, which then stay where they are
+    flat = materialize(flat, "links")
+    return points.join(shipped(flat, flat.count()), "point_id").select(*flat.columns, *[c for c in points.columns if c != "point_id"])

@@ -4,12 +4,15 @@ task for the whole table.
 Rows are put into order-preserving buckets at quantiles of the order column.
 The bucket totals (a bounded number of rows) are summed up in one small window
 and added to the running total inside each bucket. A value that fills several
-quantiles by itself gets its own bucket, split further by the tie-break column.
+quantiles by itself gets its own bucket, split further by the tie-break column
+into about as many parts as it fills quantiles, so all buckets together stay in
+proportion to the number of quantiles.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -62,13 +65,15 @@ def _with_buckets(df: DataFrame, order: str, tie: str | None, n_buckets: int | N
     keyed = keyed.withColumn("_tie_key", _numeric(df, tie))
     tie_cuts, _ = _cuts(keyed, "_tie_key", n)
     keyed = _bucketize(keyed, "_tie_key", "_sub", tie_cuts)
-    return keyed.withColumn("_sub", F.when(F.col("_key").isin(hot), F.col("_sub")).otherwise(F.lit(0.0)))
+    parts = F.create_map(*[F.lit(x) for value, filled in hot.items() for x in (value, float(filled))])
+    share = F.floor(F.col("_sub") * parts[F.col("_key")] / F.lit(len(tie_cuts) + 1.0))
+    return keyed.withColumn("_sub", F.coalesce(F.when(F.col("_key").isin(list(hot)), share.cast("double")), F.lit(0.0)))
 
 
-def _cuts(df: DataFrame, name: str, n: int) -> tuple[list[float], list[float]]:
-    """(bucket borders, values that fill more than one quantile)."""
+def _cuts(df: DataFrame, name: str, n: int) -> tuple[list[float], dict[float, int]]:
+    """(bucket borders, values that fill more than one quantile with how many)."""
     found = df.approxQuantile(name, [i / n for i in range(1, n)], 0.25 / n)
-    hot = sorted({a for a, b in zip(found, found[1:]) if a == b})
+    hot = {value: filled for value, filled in Counter(found).items() if filled > 1}
     return sorted({*found, *(math.nextafter(x, math.inf) for x in hot)}), hot
 
 

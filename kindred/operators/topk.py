@@ -48,8 +48,7 @@ def topk_one(
     """Top-k for ONE query vector: a projection and a per-task top-k, no shuffle
     of points and no Python."""
     literal = F.array(*[F.lit(float(x)) for x in query_vector])
-    usable = points.filter(has_size(F.col(vector), len(query_vector)))
-    scored = usable.select(F.col(point_id).alias("point_id"), vectors.cosine(F.col(vector), literal).alias("score"))
+    scored = points.select(F.col(point_id).alias("point_id"), vectors.cosine(F.col(vector), literal).alias("score"))
     return scored.filter(F.col("score").isNotNull() & ~F.isnan("score")).orderBy(F.col("score").desc(), F.col("point_id").asc()).limit(k)
 
 
@@ -68,11 +67,11 @@ def topk_join(
     part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """The k most similar points of every query. ``query_id`` and ``point_id``
-    are unique keys of their tables. Vectors that are null, of another size than
-    ``dim`` or hold an entry that is no number are aside: such a query has no
-    hits, such a point is no hit."""
-    q = query_side(queries, query_id, query_vector).filter(has_size(F.col("q_vec"), dim))
-    p = point_side(points, point_id, vector).filter(has_size(F.col("p_vec"), dim))
+    are unique keys of their tables. Vectors that are null or hold an entry that is
+    no number are aside: such a query has no hits, such a point is no hit. A
+    vector of another size than ``dim`` is an error."""
+    q = query_side(queries, query_id, query_vector).filter("q_vec is not null")
+    p = point_side(points, point_id, vector).filter("p_vec is not null")
     row_bytes = FLOAT_BYTES * dim
     n_queries = n_points = None
     if strategy == "auto":
@@ -144,10 +143,6 @@ def topk_in_cells(
     return q.groupBy(*keys).cogroup(p.groupBy(*keys)).applyInArrow(join_group, schema)
 
 
-def has_size(vector: Column, dim: int) -> Column:
-    return vector.isNotNull() & (F.size(vector) == dim)
-
-
 def query_side(df: DataFrame, key: str, vector: str) -> DataFrame:
     return df.select(_key(df, key).alias("query_id"), F.col(vector).cast("array<float>").alias("q_vec"))
 

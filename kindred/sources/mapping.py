@@ -14,11 +14,15 @@ from kindred import config
 FIELD_TYPES = {
     "text": T.StringType(),
     "keyword": T.StringType(),
+    "byte": T.ByteType(),
+    "short": T.ShortType(),
     "integer": T.IntegerType(),
     "long": T.LongType(),
+    "half_float": T.FloatType(),
     "float": T.FloatType(),
     "double": T.DoubleType(),
     "boolean": T.BooleanType(),
+    "date": T.TimestampType(),
 }
 
 
@@ -47,10 +51,13 @@ def _struct(properties: dict) -> T.StructType:
 
 def _type(name: str, spec: dict) -> T.DataType:
     kind = spec.get("type", "object")
-    if kind == "nested":
-        return T.ArrayType(_struct(spec["properties"]))
-    if kind == "object":
-        return _struct(spec["properties"])
+    if kind in ("nested", "object"):
+        if not spec.get("properties"):
+            # an object of fields that are known only when documents arrive
+            inner = T.MapType(T.StringType(), T.StringType())
+        else:
+            inner = _struct(spec["properties"])
+        return T.ArrayType(inner) if kind == "nested" else inner
     if kind not in FIELD_TYPES:
         raise ValueError(f"field '{name}' has unknown type '{kind}'")
     return FIELD_TYPES[kind]

@@ -18,6 +18,7 @@ from kindred.operators.embed import EmbedFactory
 from kindred.operators.link import link_products, make_points, nest_links
 from kindred.operators.sizes import shipped
 from kindred.operators.store import latest_per_key
+from kindred.session import materialize
 from kindred.sources.tables import read_table, table_exists
 
 BatchStep = Callable[[DataFrame, int], DataFrame]
@@ -72,9 +73,19 @@ def write_batch(rows: DataFrame, table: str, number: int) -> None:
 
 
 def current_rows(spark: SparkSession, table: str, key: str, *, within: str | None = None) -> DataFrame:
-    """Newest row per key; ``within`` orders rows of the same batch."""
+    """Newest row per key; ``within`` orders rows of the same batch.
+
+    Keys that stand once, all of them after mere appends, pass as they are. Only
+    the keys are counted; rows of repeated keys alone are shuffled and folded."""
     order = ["batch_id"] if within is None else ["batch_id", within]
-    return latest_per_key(read_table(spark, table), key, order).drop("batch_id")
+    rows = read_table(spark, table)
+    repeated = materialize(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(key), "repeated")
+    n_repeated = repeated.count()
+    if n_repeated == 0:
+        return rows.drop("batch_id")
+    few = shipped(repeated, n_repeated)
+    newest = latest_per_key(rows.join(few, key, "left_semi"), key, order)
+    return rows.join(few, key, "left_anti").unionByName(newest).drop("batch_id")
 
 
 def next_id(spark: SparkSession, table: str, key: str, number: int, id_mode: str) -> int:

@@ -9,12 +9,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from kindred import session
-from kindred.operators import cells, deadletter, points
+from kindred.functions.text import tokens
+from kindred.operators import cells, deadletter, numbering, points
 from kindred.operators.embed import embed_outcomes, hash_embedder
+from kindred.operators.link import make_points, search_texts
 from kindred.operators.topk import topk_join, topk_one
+from kindred.sources.mapping import schema_of
 from kindred.sources.text import read_line_texts, read_parquet_texts
 
-ODD = [[math.nan] * 4, [1.0, math.inf, 0.0, 0.0], None, [1.0, 2.0], [1.0, None, 0.0, 0.0]]
+ODD = [[math.nan] * 4, [1.0, math.inf, 0.0, 0.0], None, [1.0, None, 0.0, 0.0]]
 
 
 def test_lines_survive_other_splits(spark, tmp_path):
@@ -118,3 +121,42 @@ def test_positions_without_partner_are_an_error(spark):
     texts = spark.createDataFrame([(i, "t") for i in (0, 1, 9)], "pos bigint, text string")
     with pytest.raises(ValueError):
         points.assemble_points(vectors, texts=texts)
+
+
+def test_index_is_stored_loaded_and_extended(spark, tmp_path):
+    df, rows = dirty(spark, 100, 10)
+    index = cells.build_cells(df.filter("id < 60"), cells.train_centroids(df, 5, 4), 4, point_id="id")
+    index.save(str(tmp_path / "index"))
+    grown = cells.CellIndex.load(spark, str(tmp_path / "index")).extended(df.filter("id >= 60"), point_id="id")
+    hits = cells.topk_cells(df, grown, 10, 2, query_id="id")
+    assert {(r["query_id"], r["rank"], r["point_id"]) for r in hits.collect()} == best(rows, rows, 10)
+
+
+def test_search_through_an_index_equals_the_plain_search(spark):
+    texts = spark.createDataFrame([(i, f"word{i} word{i % 7} text") for i in range(80)], "row_id bigint, text string")
+    points = make_points(texts, hash_embedder(16), 16)
+    queries = spark.createDataFrame([(0, "word3 text"), (1, "other"), (2, None)], "query_id bigint, query string")
+    index = cells.build_cells(points, cells.train_centroids(points, 6, 16), 16)
+    plain = search_texts(queries, points, hash_embedder(16), 16).orderBy("query_id", "rank").collect()
+    assert search_texts(queries, points, hash_embedder(16), 16, index=index).orderBy("query_id", "rank").collect() == plain
+    assert search_texts(queries, points, hash_embedder(16), 16, index=index, nprobe=1).filter("query_id = 0").count() > 0
+    assert [r["rank"] for r in plain if r["query_id"] == 2] == [None]
+
+
+def test_hot_values_share_the_buckets(spark):
+    df = spark.range(6000).select((F.col("id") % 60).alias("v"), F.col("id").alias("t"))
+    numbered = numbering.dense_positions(df, "v", tie="t", n_buckets=400)
+    got = [(r["v"], r["t"]) for r in numbered.orderBy("pos").collect()]
+    assert got == sorted(got) and [r["pos"] for r in numbered.select("pos").orderBy("pos").collect()] == list(range(6000))
+    keyed = numbering._with_buckets(df, "v", "t", 400)
+    assert keyed.select("_bucket", "_sub").distinct().count() <= 800
+
+
+def test_marks_stay_with_their_letters(spark):
+    df = spark.createDataFrame([("caf\u0065\u0301 \u0939\u093f\u0928\u094d\u0926\u0940",)], "t string")
+    assert df.select(tokens(F.col("t"))).first()[0] == ["caf\u0065\u0301", "\u0939\u093f\u0928\u094d\u0926\u0940"]
+
+
+def test_mapping_types():
+    made = schema_of({"properties": {"d": {"type": "date"}, "s": {"type": "short"}, "h": {"type": "half_float"}, "o": {"type": "object"}, "n": {"type": "nested"}}})
+    assert made.simpleString() == "struct<d:timestamp,s:smallint,h:float,o:map<string,string>,n:array<map<string,string>>>"
