@@ -17,6 +17,7 @@ _ONE_PROCESS = re.compile(r"local(\[.*\])?$")
 
 _shipped: set[str] = set()
 _own_roots: dict[str, str] = {}
+_work_paths: dict[str, list[str]] = {}
 
 
 def build_session(app_name: str = "kindred", master: str | None = None, **conf: str) -> SparkSession:
@@ -79,7 +80,26 @@ def work_root(spark: SparkSession) -> str:
 
 def new_work_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nothing else uses."""
-    return f"{work_root(spark)}/kindred/{name}-{uuid.uuid4().hex}"
+    path = f"{work_root(spark)}/kindred/{name}-{uuid.uuid4().hex}"
+    _work_paths.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_work_tables(spark: SparkSession, *, but: DataFrame | None = None) -> None:
+    """Remove the intermediate tables that this application has written so far.
+
+    To be called when all results that read them are stored; those that ``but``
+    reads stay.
+    """
+    paths = _work_paths.pop(spark.sparkContext.applicationId, [])
+    read = but.inputFiles() if but is not None else []
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in paths:
+        if any(f"/{path.rsplit('/', 1)[-1]}/" in file for file in read):
+            _work_paths.setdefault(spark.sparkContext.applicationId, []).append(path)
+            continue
+        place = hadoop.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
