@@ -28,6 +28,9 @@ WORD_CHAR = "[^\\x20\\x09-\\x0D]"
 SYMBOL = "[#*$%&|<>]"
 WINDOW = 8
 
+#: Strata whose cutoffs are shipped to every task at most.
+MAX_SHIPPED_STRATA = 100_000
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -176,23 +179,32 @@ def _judged(
     stratum = F.coalesce(F.col(stratum_col).cast("string"), F.lit("")) if stratum_col else F.lit("")
     # the columns that pass through travel in one struct, so no name can clash
     row = F.struct(*carried) if carried else F.lit(None).cast("string")
-    taken = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), stratum.alias("stratum"), row.alias("row"))
-    counted = materialize(
-        features(taken, keep=("stratum", "row")).withColumn("base_failed", base_failed(min_words, max_repeat_percent)), "quality-features"
-    )
+
+    def featured(carrying: Column) -> DataFrame:
+        taken = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), stratum.alias("stratum"), carrying.alias("row"))
+        return features(taken, keep=("stratum", "row")).withColumn("base_failed", base_failed(min_words, max_repeat_percent))
+
+    counted = materialize(featured(F.lit(None).cast("string")).drop("row"), "quality-features")
     good = (
         labels.filter(F.col(id_col).isNotNull() & F.col("quality").isNotNull())
         .groupBy(F.col(id_col).alias("doc_id"))
         .agg((F.min("quality") == 1).alias("good"))
     )
-    labelled = counted.drop("row").filter("not base_failed").join(good, "doc_id").dropDuplicates(["doc_id"])
+    labelled = counted.filter("not base_failed").join(good, "doc_id").dropDuplicates(["doc_id"])
     cutoffs = choose_cutoffs(labelled, rules, max_false_rejection=max_false_rejection, error=error)
     wide = cutoffs.groupBy("stratum").pivot("rule", [r.name for r in rules]).agg(F.min("cutoff"))
-    # one row per stratum and one column per rule: as small as the list of strata
-    wide = wide.select("stratum", *[F.col(r.name).alias(f"_cut_{i}") for i, r in enumerate(rules)])
+    # one row per stratum and one column per rule, counted before it is shipped
+    wide = materialize(wide.select("stratum", *[F.col(r.name).alias(f"_cut_{i}") for i, r in enumerate(rules)]), "cutoffs")
+    if wide.count() <= MAX_SHIPPED_STRATA:
+        wide = F.broadcast(wide)
     rejected = F.lit(False)
     for i, rule in enumerate(rules):
         rejected = rejected | F.coalesce(F.expr(rule.statistic) > F.col(f"_cut_{i}"), F.lit(False))
+    if carried:
+        # texts are not written between the two passes: the features are taken again. The
+        # one-row explode keeps the filter above it, which would else be pushed down and
+        # have every use of a feature compute it anew.
+        counted = featured(row).select(F.explode(F.array(F.struct("*"))).alias("f")).select("f.*")
     return counted.join(wide, "stratum", "left").withColumn("kept", ~F.col("base_failed") & ~rejected)
 
 

@@ -232,18 +232,23 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 def representatives(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of ``docs`` of each group of near-duplicates, the one with the
     smallest id, all columns as they are. A row without an id stays only where
-    its group has no other."""
+    its group has no other.
+
+    Only ids and fingerprints are written. Where ids are unique they alone find
+    the rows that stay; else the rows' fingerprints are taken again."""
     text = F.pandas_udf(_fingerprint_column, "bigint")
     row_id = F.col(id_col).cast("bigint")
-    marked = materialize(
-        docs.select(row_id.alias("id"), text(F.coalesce(F.col(text_col), F.lit(""))).alias("fp"), F.struct(*docs.columns).alias("row")),
-        "marked",
-    )
+    wide = docs.select(row_id.alias("id"), text(F.coalesce(F.col(text_col), F.lit(""))).alias("fp"), F.struct(*docs.columns).alias("row"))
+    marked = materialize(wide.select("id", "fp"), "marked")
+    repeated = marked.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or id is null").limit(1).count()
     first = F.struct(F.col("id").isNull().alias("no_id"), "id")
     distinct = materialize(marked.groupBy("fp").agg(F.min(first).alias("first")), "distinct")
     rooted = _named(distinct)
     keep = rooted.groupBy("root").agg(F.min(F.struct("first", "fp")).alias("k")).select(F.col("k.fp").alias("fp"), F.col("k.first.id").alias("keep_id"))
-    kept = marked.join(keep, (marked.fp == keep.fp) & marked.id.eqNullSafe(keep.keep_id)).select(marked.fp, "row")
+    if not repeated:
+        rows = docs.select(row_id.alias("keep_id"), F.struct(*docs.columns).alias("row"))
+        return rows.join(keep, "keep_id", "left_semi").select("row.*")
+    kept = wide.join(keep, (wide.fp == keep.fp) & wide.id.eqNullSafe(keep.keep_id)).select(wide.fp, "row")
     return kept.dropDuplicates(["fp"]).select("row.*")
 
 
