@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred import config
 from kindred.functions import vectors
-from kindred.operators.cells import build_cells, topk_cells, topk_probed, train_centroids
+from kindred.operators.cells import CellIndex, build_cells, topk_cells, topk_probed, train_centroids
 from kindred.operators.centroids import group_means
 from kindred.operators.points import assemble_points
 from kindred.operators.topk import topk_join, topk_one
@@ -30,6 +31,19 @@ TOPK_SQL = f"""SELECT query_id, CAST(rn AS INTEGER) AS rank, round(s, 6) AS scor
   WHERE rn <= {K}"""
 
 
+_MEANS = f"""means AS (SELECT label, i, avg(embedding[i]::DOUBLE) AS m, count(*) AS n
+    FROM (SELECT label, embedding, unnest(range(1, {DIM + 1})) AS i FROM embeddings) GROUP BY label, i),
+  scale AS (SELECT label, sqrt(sum(m * m)) AS norm FROM means GROUP BY label)"""
+# The cells of given centroids (the mean vector of each label) and the search of the nearest ones, stated in SQL.
+PROBES = 4
+_PROBED = f"""WITH {_MEANS}, c AS (SELECT label, list((m / norm)::FLOAT ORDER BY i) AS v FROM means JOIN scale USING (label) GROUP BY label),
+  located AS (SELECT vec_id, c.label AS cell, row_number() OVER (PARTITION BY vec_id
+      ORDER BY list_cosine_similarity(embedding::DOUBLE[], v::DOUBLE[]) DESC, c.label) AS place FROM embeddings, c),
+  found AS (SELECT q.vec_id AS query_id, p.vec_id AS point_id FROM located q JOIN located p ON q.cell = p.cell AND q.place <= {PROBES} AND p.place = 1),
+  best AS (SELECT query_id, point_id, s, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, point_id) AS rn
+    FROM found JOIN ({_ALL_PAIRS}) USING (query_id, point_id))"""
+
+
 def _rounded(hits: DataFrame) -> DataFrame:
     return hits.withColumn("score", F.round("score", 6))
 
@@ -67,19 +81,31 @@ def topk_by_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(topk_cells(e, _index(e), K, 4, **ASK))
 
 
-@query()
+def _label_index(e: DataFrame):
+    """Cells around given centroids: one row per label is collected."""
+    means = group_means(e, "label", "embedding").orderBy("label").select("centroid").collect()
+    return build_cells(e, np.array([row["centroid"] for row in means], dtype=np.float32), DIM, **POINT)
+
+
+@query(f"{_PROBED} SELECT query_id, CAST(rn AS INTEGER) AS rank, round(s, 6) AS score, point_id FROM best WHERE rn <= {K}")
 def topk_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Search of the four nearest cells only."""
+    """Search of the four nearest cells only, through an index that is stored and read back."""
     e = table(spark, sf_dir, "embeddings")
-    return _rounded(topk_probed(e, _index(e), K, 4, **ASK))
+    path = new_work_path(spark, "cell-index")
+    _label_index(e).save(path)
+    return _rounded(topk_probed(e, CellIndex.load(spark, path), K, PROBES, **ASK))
 
 
-@query()
+@query(
+    f"""{_PROBED}, exact AS (SELECT query_id, point_id FROM ({_RANKED}) WHERE rn <= {K})
+    SELECT count(*) AS n_exact, count(b.rn) AS n_found, avg(CASE WHEN b.rn IS NULL THEN 0.0 ELSE 1.0 END) AS recall
+    FROM exact x LEFT JOIN (SELECT * FROM best WHERE rn <= {K}) b ON x.query_id = b.query_id AND x.point_id = b.point_id"""
+)
 def probe_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of the exact top-k that probing four cells finds."""
     e = table(spark, sf_dir, "embeddings")
     exact = topk_join(e, e, K, DIM, **VEC).select("query_id", "point_id")
-    found = topk_probed(e, _index(e), K, 4, **ASK).select("query_id", "point_id", F.lit(1).alias("hit"))
+    found = topk_probed(e, _label_index(e), K, PROBES, **ASK).select("query_id", "point_id", F.lit(1).alias("hit"))
     return exact.join(found, ["query_id", "point_id"], "left").agg(
         F.count(F.lit(1)).alias("n_exact"), F.count("hit").alias("n_found"), F.avg(F.coalesce("hit", F.lit(0))).alias("recall")
     )
@@ -193,11 +219,6 @@ def pair_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_MEANS = f"""means AS (SELECT label, i, avg(embedding[i]::DOUBLE) AS m, count(*) AS n
-    FROM (SELECT label, embedding, unnest(range(1, {DIM + 1})) AS i FROM embeddings) GROUP BY label, i),
-  scale AS (SELECT label, sqrt(sum(m * m)) AS norm FROM means GROUP BY label)"""
-
-
 @query(
     f"""WITH {_MEANS} SELECT label, i - 1 AS i, n, round(m / norm, 6) AS x FROM means JOIN scale USING (label)"""
 )
