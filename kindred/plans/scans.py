@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kindred import config
 from kindred.functions.text import as_text, payload_of, payload_value, tokens, truncate_tokens, with_prefix
+from kindred.operators.rowerrors import conform_rows
 from kindred.plans.registry import query, spread_table, table
 from kindred.session import new_work_path
 from kindred.sources.mapping import conform, default_mapping, schema_of
@@ -182,3 +183,18 @@ def mapping_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows brought to the default mapping; undeclared fields stay."""
     parts = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("keyword"), "p_size")
     return conform(parts, schema_of(default_mapping("keyword")))
+
+
+@query(
+    """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE n_chars END AS n_chars,
+      CASE WHEN doc_id % 3 = 0 THEN 'n_chars' ELSE '' END AS bad_fields FROM documents"""
+)
+def row_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose value does not fit the mapping (every third, by rule) put aside, the others loaded."""
+    given = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("about "), F.col("n_chars"))).otherwise(F.col("n_chars").cast("string"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", given.alias("n_chars"))
+    mapping = {"properties": {"doc_id": {"type": "long"}, "n_chars": {"type": "long"}}}
+    loaded, rejected = conform_rows(docs, schema_of(mapping), on_row_error="deadletter")
+    return loaded.withColumn("bad_fields", F.lit("")).unionByName(
+        rejected.select("doc_id", F.lit(None).cast("bigint").alias("n_chars"), F.array_join("bad_fields", ",").alias("bad_fields"))
+    )

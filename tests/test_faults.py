@@ -13,6 +13,7 @@ from kindred.functions.text import tokens
 from kindred.operators import cells, deadletter, numbering, points
 from kindred.operators.embed import embed_outcomes, hash_embedder
 from kindred.operators.link import make_points, search_texts
+from kindred.operators.rowerrors import conform_rows
 from kindred.operators.topk import topk_join, topk_one
 from kindred.sources.mapping import schema_of
 from kindred.sources.text import read_line_texts, read_parquet_texts
@@ -160,3 +161,16 @@ def test_marks_stay_with_their_letters(spark):
 def test_mapping_types():
     made = schema_of({"properties": {"d": {"type": "date"}, "s": {"type": "short"}, "h": {"type": "half_float"}, "o": {"type": "object"}, "n": {"type": "nested"}}})
     assert made.simpleString() == "struct<d:timestamp,s:smallint,h:float,o:map<string,string>,n:array<map<string,string>>>"
+
+
+def test_row_errors_fail_or_go_aside(spark):
+    df = spark.createDataFrame([(1, "5", "x"), (2, "five", "y"), (3, None, None)], "id int, n string, t string")
+    schema = schema_of({"properties": {"id": {"type": "long"}, "n": {"type": "integer"}, "t": {"type": "text"}}})
+    loaded, rejected = conform_rows(df, schema, on_row_error="deadletter")
+    assert sorted((r["id"], r["n"]) for r in loaded.collect()) == [(1, 5), (3, None)]
+    assert [(r["id"], r["n"], r["bad_fields"]) for r in rejected.collect()] == [(2, "five", ["n"])]
+    with pytest.raises(Exception, match="does not fit the mapping in n"):
+        conform_rows(df, schema)[0].collect()
+    assert conform_rows(df.filter("id != 2"), schema)[0].count() == 2
+    with pytest.raises(ValueError):
+        conform_rows(df, schema, on_row_error="warn")
