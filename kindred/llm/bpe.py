@@ -76,15 +76,20 @@ class ByteBpe:
     """Encoder and decoder of one vocabulary.
 
     ``model`` is a BPE model of the tokenizers library over byte characters,
-    ``tokens`` the bytes of each id, ``pattern`` splits texts into pieces.
+    ``tokens`` the bytes of each id, ``pattern`` splits texts into pieces, ``added``
+    has the ids of tokens that ``encode_with_added`` takes as a whole.
     """
 
-    def __init__(self, model: models.BPE, tokens: dict[int, bytes], pattern: str):
+    def __init__(self, model: models.BPE, tokens: dict[int, bytes], pattern: str, added: dict[str, int] | None = None):
         self.model = model
         self.tokens = tokens
         self.pattern = regex.compile(pattern)
         self._behind_blank: dict[str, bytes] = {}
         self._pieces: dict[str, bytes] = {}
+        self.added = {content: array("I", [i]).tobytes() for content, i in (added or {}).items()}
+        # of tokens that begin at one place the longest counts
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self._added = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if self.added else None
         size = max(tokens, default=-1) + 1
         self._lengths = np.zeros(size, np.int64)
         for i, token in tokens.items():
@@ -99,13 +104,18 @@ class ByteBpe:
 
     @classmethod
     def from_json(cls, path: str, pattern: str) -> ByteBpe:
-        """The model of a tokenizer file; its special tokens are no text."""
+        """The model of a tokenizer file; its special tokens are no text for ``encode``."""
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         parts, special = described["model"], {t["id"] for t in described["added_tokens"] if t["special"]}
+        if any(t.get(flag) for t in described["added_tokens"] for flag in ("single_word", "lstrip", "rstrip")):
+            raise ValueError(f"{path}: added tokens that take blanks or whole words only are not supported")
+        if described.get("normalizer"):
+            raise ValueError(f"{path}: normalizers are not supported")
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in parts["merges"]]
         model = models.BPE(vocab=parts["vocab"], merges=merges, ignore_merges=parts.get("ignore_merges", False))
-        return cls(model, {i: as_bytes(t) for t, i in parts["vocab"].items() if i not in special}, pattern)
+        tokens = {i: as_bytes(t) for t, i in parts["vocab"].items() if i not in special}
+        return cls(model, tokens, pattern, {t["content"]: t["id"] for t in described["added_tokens"]})
 
     def _encoded(self, piece: str) -> bytes:
         return array("I", [t.id for t in self.model.tokenize(as_chars(piece.encode()))]).tobytes()
@@ -144,6 +154,14 @@ class ByteBpe:
                         known[part] = ids
         return b"".join(out)
 
+    def encode_with_added(self, text: str) -> bytes:
+        """As ``encode``, but the file's added tokens are recognised in the text."""
+        if self._added is None:
+            return self.encode(text)
+        parts = self._added.split(text)
+        # texts stand at even places, the added tokens between them at odd ones
+        return b"".join(self.added[part] if i % 2 else self.encode(part) for i, part in enumerate(parts))
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of the ids; a character may be split over several of them,
         so bytes are joined before anybody decodes characters."""

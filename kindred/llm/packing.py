@@ -77,7 +77,8 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, pattern: str, *, id_col: str
     """Pieces of at most ``CAPACITY`` tokens, and ``item``, a number per piece.
 
     A document is its ids and the end id; of one that is cut, the first piece
-    takes what is over.
+    takes what is over. Ids are those of the tokenizer file, which recognises its
+    added tokens in the text.
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -86,7 +87,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, pattern: str, *, id_col: str
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"].array, batch["text"]):
-                data = bpe.encode(text or "") + end
+                data = bpe.encode_with_added(text or "") + end
                 n = len(data) // 4
                 start = 0
                 for piece in range(-(-n // CAPACITY)):

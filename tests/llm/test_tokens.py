@@ -48,6 +48,28 @@ def test_json_ids_equal_the_whole_tokenizer():
         assert np.frombuffer(bpe.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+LITERALS = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "a<|endoftext|", "<|<|endoftext|>|>", "\n\n<|endoftext|>  \n the"]
+
+
+def test_added_tokens_equal_the_whole_tokenizer():
+    bpe, whole = ByteBpe.from_json(JSON, PATTERN), Tokenizer.from_file(JSON)
+    assert np.frombuffer(bpe.encode_with_added(LITERALS[0]), "<u4").tolist() == [64, 220, 50256, 275]
+    for text in [*LITERALS, *texts()]:
+        assert np.frombuffer(bpe.encode_with_added(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_packed_ids_have_the_added_tokens(make_docs):
+    whole = Tokenizer.from_file(JSON)
+    docs = [*enumerate(LITERALS), (50, "word <|endoftext|>" * 1500)]
+    got = defaultdict(list)
+    for r in pack_documents(make_docs(docs), JSON, PATTERN).collect():
+        got[r.doc_id].append((r.start, r.length, r.ids_crc32))
+    for i, text in docs:
+        ids = np.array([*whole.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        assert sum(n for _, n, _ in got[i]) == len(ids)
+        assert all(crc == zlib.crc32(ids[a : a + n].tobytes()) for a, n, crc in got[i])
+
+
 def test_offsets_point_at_the_characters():
     bpe = ByteBpe.from_ranks(RANKS, PATTERN)
     for text in texts()[:300]:
