@@ -27,11 +27,18 @@ from pyspark.sql import functions as F
 
 # Element names by the role that HTML gives them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math select object".split())
+RAW = frozenset("script style textarea title template iframe svg select".split())
+#: What may stand in a head; anything else ends it.
+HEAD = frozenset("head base basefont bgsound link meta noframes noscript script style template title".split())
+#: Parts of a formula, which are one text; here "/>" closes.
+MATH = frozenset(
+    "annotation annotation-xml maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot "
+    "mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
+)
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rt rp s samp small span "
     "strike strong sub sup time tt u var wbr".split()
-)
+) | MATH
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main "
     "menu nav ol p pre section table ul".split()
@@ -150,6 +157,8 @@ def parse(source: str) -> Page:
             end = mark + 1
         if end > at:
             text = source[at:end]
+            if hidden and not text.isspace():
+                close_nearest({"head"}, frozenset())
             buffer.append(text)
             link_chars += len(text) * (in_link > 0)
         if token is None:
@@ -160,6 +169,11 @@ def parse(source: str) -> Page:
         if start:
             tag = start.lower()
             attrs = token["attrs"] or token["loose_attrs"] or ""
+            closed = attrs.rstrip().endswith("/")
+            if hidden and tag not in HEAD and tag != "html":
+                close_nearest({"head"}, frozenset())
+            if tag == "svg" and closed:
+                continue
             if tag in RAW:
                 closing = _RAW_END[tag].search(source, at)
                 at = closing.end() if closing else size
@@ -168,7 +182,7 @@ def parse(source: str) -> Page:
             if tag in INLINE:
                 if tag in ("br", "img", "wbr"):
                     buffer.append(" ")
-                else:
+                elif not (closed and tag in MATH):
                     stack.append((tag, node_of_top()))
                     in_link += tag == "a"
                 continue
@@ -179,10 +193,8 @@ def parse(source: str) -> Page:
                 close_nearest(CLOSED_BY_OWN_KIND[tag], SCOPES - CLOSED_BY_OWN_KIND[tag])
             if tag == "html":
                 continue
-            if tag == "body":
-                close_nearest({"head"}, frozenset())
             node = add_node(tag, attrs)
-            if tag not in VOID and not attrs.rstrip().endswith("/"):
+            if tag not in VOID and not closed:
                 stack.append((tag, node))
                 hidden += tag == "head"
         elif token["end"]:

@@ -96,6 +96,29 @@ def test_messages_against_enumeration():
     assert np.allclose(marginal, ones / total) and np.allclose(expected, pairs / total)
 
 
+LONG = "This sentence belongs to the article and is long enough to be told from others."
+
+
+@pytest.mark.parametrize("part", [
+    f"<svg viewBox='0 0 1 1' /><p>{LONG}</p>", f"<p>a <svg/> b</p><p>{LONG}</p>", f"<math/><p>{LONG}</p>", f"<noscript><p>{LONG}</p></noscript>",
+    f"<object data='x'><p>{LONG}</p></object>", f"<p>{LONG} <math><mi>x</mi><mo>=</mo><mspace/><mn>42</mn></math> holds.</p>",
+])
+def test_nothing_of_the_article_is_dropped(part):
+    page = f"<html><head><title>T</title></head><body><nav><a href='/'>Home</a></nav><article><h1>Head line</h1><p>{LONG}</p>{part}<p>Last one, {LONG}</p></article></body></html>"
+    text = trained_model().texts([page])[0]
+    assert text.count(LONG) == 3 and "Last one" in text and "Home" not in text
+    assert ("x= 42" in text or "x=42" in text) == ("<mi>" in part)
+
+
+@pytest.mark.parametrize("head", ["<title>T</title><meta charset=utf-8>", "<head><title>T</title>", "<html><head><meta charset=utf-8><title>T</title>\n<link rel=x>"])
+def test_head_ends_without_its_tag(head):
+    text = trained_model().texts([f"<!doctype html>{head}<article><h1>Head line</h1><p>{LONG}<p>Last one, {LONG}</article>"])[0]
+    assert text.count(LONG) == 2 and "Head line" in text
+    assert LONG in trained_model().texts([f"{head}{LONG}<p>{LONG}"])[0]
+    inline = parse(f"{head}<b>{LONG}</b>")
+    assert [t for _, t, _ in inline.blocks] == [LONG]
+
+
 def test_parser_takes_anything():
     for source in ("<", "<a", "<!--", "</", "</p>", "<p", "<script>", "<p class='x", "a<b>c", "<table><tr><td>x<td>y", "<li>a<li>b", "\x00<é>"):
         parse(source)
