@@ -14,12 +14,14 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.session import materialize, new_work_path
+from kindred.session import lasting_path, materialize
 
 #: Characters that do not count for equality.
 SPACES = " \t\n\x0b\x0c\r"
 
 INDEX_SCHEMA = "text_sha256 string, keep_id bigint, keep_points int, group_size bigint, batch string"
+#: Begins the name of the file that holds an index's number of buckets.
+BUCKETS_MARK = "_buckets-"
 
 
 def normalised(text: Column) -> Column:
@@ -34,26 +36,54 @@ def text_digest(text: Column) -> Column:
 class DigestIndex:
     """A table of the digests seen so far, bucketed and sorted by digest.
 
-    ``name`` is the table's name in the session catalog, ``path`` its folder
-    (below ``spark.checkpoint.dir`` unless given); the table outlives the job
-    and further batches append to it.
+    The index is its folder: ``path``, or one below ``spark.checkpoint.dir`` that
+    follows from ``name``. A session that does not know the table registers it
+    over the files that are there, so further batches of any application append
+    to it; an index that is new begins as an empty bucketed table. A hidden file
+    in the folder holds the number of buckets, which wins over ``buckets``.
     """
 
     def __init__(self, spark: SparkSession, name: str | None = None, *, path: str | None = None, buckets: int = 64):
         self.spark = spark
         self.name = name or f"digests_{uuid.uuid4().hex}"
-        self.path = path or new_work_path(spark, "digest-index")
+        self.path = path or lasting_path(spark, f"digest-index-{self.name}")
         self.buckets = buckets
 
-    def exists(self) -> bool:
-        return self.spark.catalog.tableExists(self.name)
+    def _open(self) -> None:
+        """Register the table in this session, or fail before anything is written."""
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        place = fs.makeQualified(place)
+        names = [status.getPath().getName() for status in fs.listStatus(place)] if fs.exists(place) else []
+        marks = [n.removeprefix(BUCKETS_MARK) for n in names if n.startswith(BUCKETS_MARK)]
+        if len(marks) > 1 or (not marks and any(not n.startswith(("_", ".")) for n in names)):
+            raise ValueError(f"{self.path} holds files but not the one number of buckets of a digest index")
+        if self.spark.catalog.tableExists(self.name):
+            described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").filter("col_name = 'Location'").first()
+            known = fs.makeQualified(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(described.data_type))
+            if known.toString() != place.toString():
+                raise ValueError(f"table {self.name} lies in {known.toString()}, not in {self.path}")
+            if not marks:
+                raise ValueError(f"the folder of table {self.name} is gone or no digest index: {self.path}")
+        if marks:
+            self.buckets = int(marks[0])
+        else:
+            fs.mkdirs(place)
+            fs.createNewFile(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place, f"{BUCKETS_MARK}{self.buckets}"))
+        location = place.toString().replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name} ({INDEX_SCHEMA}) USING parquet "
+            f"CLUSTERED BY (text_sha256) SORTED BY (text_sha256) INTO {self.buckets} BUCKETS LOCATION '{location}'"
+        )
+        # another session may have appended since this one listed the files
+        self.spark.catalog.refreshTable(self.name)
 
     def rows(self) -> DataFrame:
-        if self.exists():
-            return self.spark.table(self.name)
-        return self.spark.createDataFrame([], INDEX_SCHEMA)
+        self._open()
+        return self.spark.table(self.name)
 
     def append(self, rows: DataFrame) -> None:
+        self._open()
         (
             rows.repartition(self.buckets, "text_sha256")
             .write.format("parquet")

@@ -85,6 +85,12 @@ def new_work_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def lasting_path(spark: SparkSession, name: str) -> str:
+    """A path below the shared folder for what outlives the job: the same for the
+    same name, and never removed by ``drop_work_tables``."""
+    return f"{work_root(spark)}/kindred/lasting/{name}"
+
+
 def drop_work_tables(spark: SparkSession, *, but: DataFrame | None = None) -> None:
     """Remove the intermediate tables that this application has written so far.
 

@@ -1,7 +1,10 @@
 """Quality rules, exact duplicates, line field."""
 
 import math
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +13,7 @@ from kindred.llm import quality_rules
 from kindred.llm.exact_dedup import DigestIndex, deduplicate, new_documents
 from kindred.llm.line_crf import fit_field, score_documents
 from kindred.llm.quality_rules import judge, kept_documents
+from kindred.session import drop_work_tables
 
 ODD = [(None, "lonely words"), (1, None), (2, ""), (3, " \t\n "), (4, "a b"), (4, "a b"), (5, "a  b"), (6, "x" * 200_000)]
 
@@ -45,6 +49,41 @@ def test_index_outlives_a_batch(spark, make_docs):
     assert "Bucketed: " in plan
 
 
+OTHER_SESSION = """
+import sys
+from kindred import build_session
+from kindred.llm.exact_dedup import DigestIndex, new_documents
+spark = build_session("other", master="local[2]", spark__sql__shuffle__partitions="3", spark__ui__enabled="false",
+                      spark__sql__warehouse__dir=sys.argv[1] + "/warehouse")
+docs = spark.createDataFrame([(1, "one"), (2, "two"), (3, "t wo")], "doc_id bigint, text string")
+print("kept", new_documents(docs, DigestIndex(spark, "lasting_digests", path=sys.argv[1] + "/index", buckets=3)).count())
+"""
+
+
+def test_index_outlives_the_session(spark, make_docs, tmp_path):
+    root = Path(__file__).resolve().parents[2]
+    first = subprocess.run([sys.executable, "-c", OTHER_SESSION, str(tmp_path)], cwd=root, capture_output=True, text=True, timeout=120)
+    assert "kept 2" in first.stdout, first.stderr[-2000:]
+    index = DigestIndex(spark, "lasting_digests", path=f"{tmp_path}/index", buckets=4)
+    judged = {r.doc_id: r for r in deduplicate(make_docs([(4, "two"), (5, "five")]), index).collect()}
+    assert (judged[4].keep_id, judged[4].kept, judged[4].group_size) == (3, False, 3)
+    assert judged[5].kept and index.buckets == 3
+    assert sorted(r.keep_id for r in spark.read.parquet(f"{tmp_path}/index").collect()) == [1, 3, 5]
+    with pytest.raises(ValueError, match="lies in"):
+        DigestIndex(spark, "lasting_digests", path=f"{tmp_path}/elsewhere").rows()
+    spark.range(1).write.parquet(f"{tmp_path}/foreign")
+    with pytest.raises(ValueError, match="number of buckets"):
+        DigestIndex(spark, path=f"{tmp_path}/foreign").rows()
+
+
+def test_index_is_no_work_table(spark, make_docs):
+    index = DigestIndex(spark, buckets=4)
+    assert "Bucketed: " in index.rows()._jdf.queryExecution().toString()
+    assert new_documents(make_docs([(1, "one")]), index).count() == 1
+    drop_work_tables(spark)
+    assert new_documents(make_docs([(2, "one"), (3, "three")]), index).count() == 1
+
+
 def test_new_documents_keeps_columns(spark, make_docs):
     docs = make_docs(ODD)
     out = new_documents(docs, DigestIndex(spark, buckets=4))
