@@ -8,7 +8,9 @@
    whole codes builds its collection's suffix order column by column
    (``collection_bwt``); starts that share 400 bytes with a neighbour are repeats.
    A task sends the bytes of equal runs once. A code with very many runs is dealt
-   out further by three more minimizers of the same strings.
+   out further by three more minimizers of the same strings. A key that still has
+   more text than a bucket sends a 128-bit code and the place of each start
+   instead of texts; starts whose code has two places are repeats.
 3. Repeated starts return to their texts by digest, and each text is cut.
 
 Strings are judged on the input. A text that several rows have is covered whole.
@@ -45,6 +47,7 @@ REMEMBERED = 500_000
 
 RUNS = "d binary, code bigint, start int, n int, weight int"
 SEGMENTS = "key bigint, seg_hi bigint, seg_lo bigint, d binary, start int, n int, body binary"
+START_CODES = "c_hi bigint, c_lo bigint, seg_hi bigint, seg_lo bigint, i int"
 _SEGMENT_COLUMNS = [c.split()[0] for c in SEGMENTS.split(", ")]
 
 
@@ -169,6 +172,54 @@ class _Bucket:
         return [(*name, _flat_runs(own)) for name, own in zip(names, flags) if own.any()]
 
 
+def _start_codes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row per start of each segment: the code of its string, and its place."""
+    for batch in batches:
+        hi, lo, bodies = batch["seg_hi"].to_numpy(), batch["seg_lo"].to_numpy(), batch["body"].to_numpy()
+        for first in range(0, len(bodies), 256):
+            own = bodies[first : first + 256]
+            sizes = np.array([len(b) - LENGTH + 1 for b in own])
+            digest = xxhash.xxh3_128_digest
+            joined = b"".join([digest(b[i : i + LENGTH]) for b, n in zip(map(memoryview, own), sizes) for i in range(n)])
+            codes = np.frombuffer(joined, ">i8").astype(np.int64).reshape(-1, 2)
+            at = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            named = slice(first, first + 256)
+            yield pd.DataFrame(
+                {"c_hi": codes[:, 0], "c_lo": codes[:, 1], "seg_hi": np.repeat(hi[named], sizes), "seg_lo": np.repeat(lo[named], sizes), "i": at.astype(np.int32)}
+            )
+
+
+def _edges(found: pd.Series) -> pd.Series:
+    """Sorted starts as the flat ends of their runs."""
+    out = []
+    for starts in found:
+        starts = np.asarray(starts)
+        begins = np.flatnonzero(np.diff(starts, prepend=starts[0] - 2) > 1)
+        ends = np.append(begins[1:], len(starts)) - 1
+        out.append(np.stack([starts[begins], starts[ends] + 1], axis=1).ravel().astype(np.int32))
+    return pd.Series(out)
+
+
+def _found_by_code(bodies: DataFrame, equal: DataFrame) -> DataFrame:
+    """seg_hi, seg_lo, found of segments, no matter how many share a key.
+
+    Equal segments are known to be repeats as a whole, so their starts are looked
+    at as places only. Both sides are dealt by code: places are reduced to two
+    numbers in each task, and of the second side a hot code can be split, as the
+    first has one row for it."""
+    starts = bodies.mapInPandas(_start_codes, START_CODES)
+    place = F.xxhash64("seg_hi", "seg_lo", "i")
+    codes = starts.groupBy("c_hi", "c_lo").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a != b").select("c_hi", "c_lo")
+    single = bodies.join(equal.select("seg_hi", "seg_lo"), ["seg_hi", "seg_lo"], "left_anti").mapInPandas(_start_codes, START_CODES)
+    edges = F.pandas_udf(_edges, "array<int>")
+    return (
+        single.join(codes, ["c_hi", "c_lo"])
+        .groupBy("seg_hi", "seg_lo")
+        .agg(F.array_sort(F.collect_set("i")).alias("i"))
+        .select("seg_hi", "seg_lo", edges("i").alias("found"))
+    )
+
+
 def _suffix_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     bucket, group, key = _Bucket(), _Bucket(), None
 
@@ -243,14 +294,20 @@ def _repeated_runs(texts: DataFrame) -> DataFrame:
     cut = texts.select("d", "text").join(lists, "d")
     segments = materialize(cut.mapInPandas(_cut_segments, SEGMENTS), "segments")
     bodies = segments.filter("body is not null").select("key", "seg_hi", "seg_lo", "body")
+    # keys with more text than a bucket, copies that several tasks sent included
+    large = materialize(bodies.groupBy("key").agg(F.sum(F.octet_length("body")).alias("size")).filter(F.col("size") > BUCKET_BYTES).select("key"), "large")
+    places = segments.select("seg_hi", "seg_lo", "d", "start", "n")
+    # equal segments at several places are repeats as a whole
+    equal = materialize(places.groupBy("seg_hi", "seg_lo").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "equal")
     found = (
-        bodies.repartition("key")
+        bodies.join(large, "key", "left_anti")
+        .select("key", "seg_hi", "seg_lo", "body")
+        .repartition("key")
         .sortWithinPartitions("key")
         .mapInPandas(_suffix_order, "seg_hi bigint, seg_lo bigint, found array<int>")
     )
-    places = segments.select("seg_hi", "seg_lo", "d", "start", "n")
-    # equal segments at several places are repeats as a whole
-    equal = places.groupBy("seg_hi", "seg_lo").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    if not large.isEmpty():
+        found = found.unionByName(_found_by_code(bodies.join(large, "key", "left_semi").select("seg_hi", "seg_lo", "body"), equal))
     seen = found.join(equal, ["seg_hi", "seg_lo"], "full_outer")
     inside = F.expr("flatten(transform(sequence(0, size(found) - 1, 2), i -> array(start + found[i], found[i + 1] - found[i])))")
     marked = places.join(seen, ["seg_hi", "seg_lo"]).select("d", F.when(F.col("c").isNotNull(), F.array("start", "n")).otherwise(inside).alias("r"))

@@ -69,6 +69,34 @@ def test_one_large_key_is_compared_in_blocks():
         repeats.BUCKET_BYTES = old
 
 
+def test_no_key_collects_more_text_than_a_bucket(make_docs, monkeypatch):
+    """Texts around one passage have all minimizers of the passage in common, and each another body."""
+    monkeypatch.setattr(repeats, "HOT_RUNS", 3)
+    monkeypatch.setattr(repeats, "BUCKET_BYTES", 20_000)
+    plain = repeats._suffix_order
+
+    def watched(batches):
+        sizes, seen = Counter(), set()
+
+        def passed():
+            for batch in batches:
+                for row in batch.itertuples(index=False):
+                    if (row.key, row.seg_hi, row.seg_lo) not in seen:
+                        seen.add((row.key, row.seg_hi, row.seg_lo))
+                        sizes[row.key] += len(row.body)
+                assert max(sizes.values(), default=0) <= 20_000
+                yield batch
+
+        yield from plain(passed())
+
+    monkeypatch.setattr(repeats, "_suffix_order", watched)
+    rnd = random.Random(10)
+    passage = words(rnd, 130)
+    rows = [(i, f"{words(rnd, 40)} {passage} {words(rnd, 40)}") for i in range(120)]
+    rows += [(200 + i, rows[i][1][20:600] + words(rnd, 60)) for i in range(5)] + [(300, passage * 2), (301, words(rnd, 200))]
+    check(make_docs, rows)
+
+
 def test_suffix_order_against_counting():
     rnd = random.Random(8)
     for _ in range(60):
