@@ -4,9 +4,11 @@ Two fingerprints of eight bytes that differ in at most three bits agree in at
 least five byte positions. The index therefore lists every fingerprint under
 fourteen keys, each the bytes at four positions: any five of eight positions
 hold one of these position sets, so no pair can miss, and a pair that agrees in
-k positions meets under a number of keys that depends on k alone. Inside a key
-the agreeing positions of a pair are tallied, pairs below five are put aside and
-the others verified bit by bit.
+k positions meets under a number of keys that depends on k alone. In a key of
+two members the agreeing positions of the pair are tallied, a pair below five is
+put aside and the others verified bit by bit. In larger keys nothing is tallied:
+bits are counted for all pairs, or neighbours are looked up; the results are the
+same, as pairs within three bits agree in five positions anyway.
 
 Copies are folded before the index: it holds distinct fingerprints. A key puts
 out at most one link per fingerprint (to the smallest one it reaches inside the
