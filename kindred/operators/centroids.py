@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.functions.vectors import l2_normalize
+from kindred.operators.vectorsum import vector_sums
 
 # Fixed value: lower bound of the divisor of a mean.
 MIN_WEIGHT = 1e-9
@@ -13,11 +14,9 @@ MIN_WEIGHT = 1e-9
 
 def group_means(df: DataFrame, group: str, vector: str, *, unit: bool = True) -> DataFrame:
     """``group, n, centroid``: the mean vector of each group, scaled to unit
-    length. Sums are per (group, position) with map-side partial sums, so a
-    group of any size costs one row per position and task."""
-    each = df.select(group, F.posexplode(vector).alias("i", "x"))
-    sums = each.groupBy(group, "i").agg(F.sum(F.col("x").cast("double")).alias("s"), F.count(F.lit(1)).alias("n"))
-    mean = F.col("s") / F.greatest(F.col("n").cast("double"), F.lit(MIN_WEIGHT))
-    ordered = F.array_sort(F.collect_list(F.struct("i", mean.alias("m"))))
-    means = sums.groupBy(group).agg(F.max("n").alias("n"), F.transform(ordered, lambda e: e["m"]).alias("centroid"))
-    return means.withColumn("centroid", l2_normalize(F.col("centroid"))) if unit else means
+    length. Each task adds its vectors up, the sums are merged in a tree. Rows
+    without a vector count nowhere; vectors of different sizes are an error."""
+    divisor = F.greatest(F.col("n").cast("double"), F.lit(MIN_WEIGHT))
+    mean = F.transform("total", lambda x: x / divisor)
+    centroid = l2_normalize(mean) if unit else mean
+    return vector_sums(df, group, vector).select(F.col("key").alias(group), "n", centroid.alias("centroid"))
