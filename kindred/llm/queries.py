@@ -16,6 +16,7 @@ from kindred.llm.simhash import near_duplicates
 from kindred.llm.sql import EXACT_DEDUP_SQL, QUALITY_RULES_SQL, URL_FILTER_SQL, WARC_SQL
 from kindred.llm.url_filter import UrlRule, filter_urls
 from kindred.llm.warc import archive_folder, read_archives, write_archives
+from kindred.llm.whitening import whiten
 
 URL_RULES = (
     UrlRule("block", "net", "/"),
@@ -80,3 +81,8 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
