@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kindred.llm import bpe, packing
+from kindred.llm.cell_dedup import near_duplicate_vectors
 from kindred.llm.dom_model import extract_text
 from kindred.llm.exact_dedup import DigestIndex, deduplicate
 from kindred.llm.line_crf import fit_field, score_documents
@@ -13,7 +14,7 @@ from kindred.llm.quality_rules import judge
 from kindred.llm.registry import query, table
 from kindred.llm.repeats import remove_repeats
 from kindred.llm.simhash import near_duplicates
-from kindred.llm.sql import EXACT_DEDUP_SQL, QUALITY_RULES_SQL, URL_FILTER_SQL, WARC_SQL
+from kindred.llm.sql import EXACT_DEDUP_SQL, QUALITY_RULES_SQL, URL_FILTER_SQL, VECTOR_DEDUP_SQL, WARC_SQL
 from kindred.llm.url_filter import UrlRule, filter_urls
 from kindred.llm.warc import archive_folder, read_archives, write_archives
 from kindred.llm.whitening import whiten
@@ -86,3 +87,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query(VECTOR_DEDUP_SQL)
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))

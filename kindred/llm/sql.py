@@ -49,6 +49,26 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
+VECTOR_DEDUP_SQL = r"""
+WITH RECURSIVE u AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM u AS a JOIN u AS b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reached AS (
+    SELECT vec_id, vec_id AS other FROM embeddings
+    UNION
+    SELECT reached.vec_id, links.b FROM reached JOIN links ON reached.other = links.a
+), components AS (
+    SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id
+), counts AS (
+    SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM components LEFT JOIN counts USING (vec_id)
+"""
+
 _RATE = 0.02 / len(RULES)
 _TESTS = ", ".join(f"('{r.name}', {cut!r}::DOUBLE)" for r in RULES for cut in r.cutoffs)
 _STATISTIC = " ".join(f"WHEN '{r.name}' THEN {r.statistic}" for r in RULES)
