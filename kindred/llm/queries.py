@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kindred.llm import bpe, packing
+from kindred.llm.alignment import align_tokenizers
 from kindred.llm.cell_dedup import near_duplicate_vectors
 from kindred.llm.dom_model import extract_text
 from kindred.llm.exact_dedup import DigestIndex, deduplicate
@@ -89,6 +90,12 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 
 
+@query()
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model")
+    return align_tokenizers(table(spark, sf_dir, "documents"), *paths)
+
+
 @query(VECTOR_DEDUP_SQL)
 def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
