@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.operators.link import make_points, search_texts
@@ -43,6 +43,11 @@ def ingest_appends(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _table_row() -> Column:
+    """Name of the table (and of its file, where it is a folder) and row within the file."""
+    return F.concat_ws(":", F.regexp_extract("file", r"([^/]+\.parquet)(/[^/]+)?$", 0), F.col("row_in_file").cast("string"))
+
+
 @query(
     """SELECT 'documents.parquet:' || (row_number() OVER (ORDER BY doc_id) - 1) AS _id, md5(text) AS source_md5 FROM documents
     UNION ALL SELECT 'benchmark.parquet:' || (row_number() OVER (ORDER BY item_id) - 1), md5(text) FROM benchmark"""
@@ -50,8 +55,7 @@ def ingest_appends(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with given ids; the last batch is replayed, which changes nothing."""
     path = new_work_path(spark, "stream-docs")
-    key = F.concat_ws(":", "file", F.col("row_in_file").cast("string"))
-    step = ingest.document_step(doc_id=key, source_key="source")
+    step = ingest.document_step(doc_id=_table_row(), source_key="source")
     stream = ingest.text_stream(spark, sf_dir, "text", glob="{documents,benchmark}.parquet", files_per_batch=1)
     ingest.run_ingest(stream, path, step)
     replayed = new_work_path(spark, "replayed")

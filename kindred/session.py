@@ -7,6 +7,7 @@ import re
 import shutil
 import tempfile
 import uuid
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,6 @@ _ONE_PROCESS = re.compile(r"local(\[.*\])?$")
 
 _shipped: set[str] = set()
 _own_roots: dict[str, str] = {}
-_work_paths: dict[str, list[str]] = {}
 
 
 def build_session(app_name: str = "kindred", master: str | None = None, **conf: str) -> SparkSession:
@@ -78,36 +78,65 @@ def work_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+class WorkScope:
+    """The intermediate tables of one job, to be removed when nothing reads them any more.
+
+    Inside ``with scope:`` every new work path belongs to it (to the innermost
+    scope where several are open). What is written outside of scopes is removed by
+    nobody but the one who wrote it.
+    """
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+        self.tables: list[str] = []
+
+    def __enter__(self) -> WorkScope:
+        _scopes.set((*_scopes.get(), self))
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        _scopes.set(_scopes.get()[:-1])
+
+    def drop(self, spark: SparkSession) -> None:
+        """Remove the scope's folders and their entries in the catalog, nothing else."""
+        for table in self.tables:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        for path in self.paths:
+            remove_folder(spark, path)
+        self.paths, self.tables = [], []
+
+
+_scopes: ContextVar[tuple[WorkScope, ...]] = ContextVar("work_scopes", default=())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def new_work_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nothing else uses."""
     path = f"{work_root(spark)}/kindred/{name}-{uuid.uuid4().hex}"
-    _work_paths.setdefault(spark.sparkContext.applicationId, []).append(path)
+    for scope in _scopes.get()[-1:]:
+        scope.paths.append(path)
     return path
 
 
+def new_work_table(spark: SparkSession, name: str) -> tuple[str, str]:
+    """A table name and a path that nothing else uses, for tables that the catalog must know (bucketed ones)."""
+    path = new_work_path(spark, name)
+    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    for scope in _scopes.get()[-1:]:
+        scope.tables.append(table)
+    return table, path
+
+
 def lasting_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder for what outlives the job: the same for the
-    same name, and never removed by ``drop_work_tables``."""
+    same name, and part of no scope."""
     return f"{work_root(spark)}/kindred/lasting/{name}"
 
 
-def drop_work_tables(spark: SparkSession, *, but: DataFrame | None = None) -> None:
-    """Remove the intermediate tables that this application has written so far.
-
-    To be called when all results that read them are stored; those that ``but``
-    reads stay.
-    """
-    paths = _work_paths.pop(spark.sparkContext.applicationId, [])
-    read = but.inputFiles() if but is not None else []
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    for path in paths:
-        if any(f"/{path.rsplit('/', 1)[-1]}/" in file for file in read):
-            _work_paths.setdefault(spark.sparkContext.applicationId, []).append(path)
-            continue
-        place = hadoop.Path(path)
-        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
