@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.session import lasting_path, materialize
+from kindred.session import lasting_path, materialize, new_work_table, remove_folder
 
 #: Characters that do not count for equality.
 SPACES = " \t\n\x0b\x0c\r"
@@ -40,14 +40,18 @@ class DigestIndex:
     follows from ``name``. A session that does not know the table registers it
     over the files that are there, so further batches of any application append
     to it; an index that is new begins as an empty bucketed table. A hidden file
-    in the folder holds the number of buckets, which wins over ``buckets``.
+    in the folder holds the number of buckets, which wins over ``buckets``. With
+    neither name nor path it is a work table, which goes with its job's scope.
     """
 
     def __init__(self, spark: SparkSession, name: str | None = None, *, path: str | None = None, buckets: int = 64):
         self.spark = spark
-        self.name = name or f"digests_{uuid.uuid4().hex}"
-        self.path = path or lasting_path(spark, f"digest-index-{self.name}")
         self.buckets = buckets
+        if name is None and path is None:
+            self.name, self.path = new_work_table(spark, "digests")
+        else:
+            self.name = name or f"digests_{uuid.uuid4().hex}"
+            self.path = path or lasting_path(spark, f"digest-index-{self.name}")
 
     def _open(self) -> None:
         """Register the table in this session, or fail before anything is written."""
@@ -82,6 +86,11 @@ class DigestIndex:
         self._open()
         return self.spark.table(self.name)
 
+    def drop(self) -> None:
+        """Remove the index, files and catalog entry."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        remove_folder(self.spark, self.path)
+
     def append(self, rows: DataFrame) -> None:
         self._open()
         (

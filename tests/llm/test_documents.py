@@ -1,5 +1,6 @@
 """Quality rules, exact duplicates, line field."""
 
+import os
 import math
 import subprocess
 import sys
@@ -13,7 +14,7 @@ from kindred.llm import quality_rules
 from kindred.llm.exact_dedup import DigestIndex, deduplicate, new_documents
 from kindred.llm.line_crf import fit_field, score_documents
 from kindred.llm.quality_rules import judge, kept_documents
-from kindred.session import drop_work_tables
+from kindred.session import WorkScope
 
 ODD = [(None, "lonely words"), (1, None), (2, ""), (3, " \t\n "), (4, "a b"), (4, "a b"), (5, "a  b"), (6, "x" * 200_000)]
 
@@ -76,12 +77,18 @@ def test_index_outlives_the_session(spark, make_docs, tmp_path):
         DigestIndex(spark, path=f"{tmp_path}/foreign").rows()
 
 
-def test_index_is_no_work_table(spark, make_docs):
-    index = DigestIndex(spark, buckets=4)
-    assert "Bucketed: " in index.rows()._jdf.queryExecution().toString()
-    assert new_documents(make_docs([(1, "one")]), index).count() == 1
-    drop_work_tables(spark)
-    assert new_documents(make_docs([(2, "one"), (3, "three")]), index).count() == 1
+def test_only_a_nameless_index_goes_with_its_scope(spark, make_docs, tmp_path):
+    with WorkScope() as scope:
+        own = DigestIndex(spark, buckets=4)
+        lasting = DigestIndex(spark, "outlives_scopes", path=f"{tmp_path}/outlives", buckets=4)
+        assert "Bucketed: " in own.rows()._jdf.queryExecution().toString()
+        for index in (own, lasting):
+            assert new_documents(make_docs([(1, "one")]), index).count() == 1
+    scope.drop(spark)
+    assert not spark.catalog.tableExists(own.name) and not os.path.exists(own.path)
+    assert new_documents(make_docs([(2, "one"), (3, "three")]), lasting).count() == 1
+    lasting.drop()
+    assert not spark.catalog.tableExists(lasting.name) and not os.path.exists(lasting.path)
 
 
 def test_new_documents_keeps_columns(spark, make_docs):

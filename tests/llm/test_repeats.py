@@ -1,12 +1,15 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from kindred.llm import repeats
-from kindred.llm.collection_bwt import LENGTH, repeated_starts
+from kindred.llm.collection_bwt import BYTES, LENGTH, repeated_starts, word_strings
 from kindred.llm.repeats import remove_repeats
 
 
@@ -54,19 +57,89 @@ def test_hot_codes_are_dealt_out_and_buckets_split(make_docs, monkeypatch):
     check(make_docs, rows)
 
 
-def test_one_large_key_is_compared_in_blocks():
+def test_a_bucket_finds_what_counting_finds():
     rnd = random.Random(7)
     bodies = [bytes(rnd.choice(b"abc ") for _ in range(600)) for _ in range(20)]
     bodies += [bodies[3][100:] + b"z" * 20, bodies[17][:450]]
     bucket = repeats._Bucket()
     bucket.bodies = {(0, i): b for i, b in enumerate(bodies)}
-    bucket.size = sum(map(len, bodies))
-    whole = bucket.results()
-    old, repeats.BUCKET_BYTES = repeats.BUCKET_BYTES, 2_000
-    try:
-        assert bucket.results() == whole and len(whole) == 4
-    finally:
-        repeats.BUCKET_BYTES = old
+    assert bucket.results() == [(0, 3, [100, 201]), (0, 17, [0, 51]), (0, 20, [0, 101]), (0, 21, [0, 51])]
+
+
+def test_a_long_text_is_worked_on_in_pieces(make_docs, monkeypatch):
+    """Repeats across the borders of pieces, and the same runs as from the whole."""
+    rnd = random.Random(12)
+    texts = [words(rnd, 3_000).encode(), words(rnd, 20).encode(), b"x" * 399, b"ab" * 3_000]
+    frame = pd.DataFrame({"d": [b"0", b"1", b"2", b"3"], "text": [t.decode() for t in texts]})
+
+    def starts(found):
+        out = pd.concat(list(found))
+        return sorted((d, c, s + i) for d, c, s, n in zip(out.d, out.code, out.start, out.n) for i in range(n))
+
+    for kind in (BYTES, word_strings(50)):
+        whole = starts(repeats._find_runs(iter([frame]), kind))
+        monkeypatch.setattr(repeats, "CHUNK_UNITS", 700)
+        assert starts(repeats._find_runs(iter([frame]), kind)) == whole
+        assert max(len(u) for held in repeats._pieces([kind.units(t) for t in texts], kind) for _, _, u in held) < 700 + kind.length
+        monkeypatch.undo()
+
+
+def test_a_text_longer_than_a_piece(make_docs):
+    rnd = random.Random(13)
+    passage = words(rnd, 200)
+    block = words(rnd, 2_000)
+    long = " ".join(f"{block[: rnd.randint(200, 390)]} {i}" for i in range(5_000))
+    rows = [(1, f"{long} {passage} {words(rnd, 30)}"), (2, f"{words(rnd, 30)} {passage}"), (3, long[1_048_000:1_049_500])]
+    assert len(rows[0][1]) > repeats.CHUNK_UNITS
+    check(make_docs, rows)
+
+
+def brute_words(texts, more_than):
+    """Kept text of each: words in runs of more than so many that also start elsewhere go, with the white space behind them."""
+    n = more_than + 1
+    split = [[(m.group(), m.start()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())] for t in texts]
+    seen = Counter(tuple(w for w, _ in s[i : i + n]) for s in split for i in range(len(s) - n + 1))
+    out = []
+    for text, s in zip(texts, split):
+        gone = {i + k for i in range(len(s) - n + 1) if seen[tuple(w for w, _ in s[i : i + n])] > 1 for k in range(n)}
+        data = (text or "").encode()
+        edges = [start for _, start in s] + [len(data)]
+        kept = data[: edges[0]] + b"".join(data[edges[i] : edges[i + 1]] for i in range(len(s)) if i not in gone)
+        out.append(kept.decode())
+    return out
+
+
+@pytest.mark.parametrize("more_than", [50, 7])
+def test_runs_of_words(make_docs, more_than):
+    rnd = random.Random(20 + more_than)
+    passage = [words(rnd, more_than + 1), words(rnd, more_than), words(rnd, 2 * more_than)]
+    blanks = [" ", "\n", "  ", "\t\r\n", " "]
+    rows = [(0, None), (1, ""), (2, words(rnd, 30)), (3, "a " * 1_500), (4, "ab cd " * 90 + words(rnd, 20)), (5, "\u00a0".join("xyz") * 200)]
+    for i in range(24):
+        inner = rnd.choice(passage).split(" ")
+        mixed = "".join(w + rnd.choice(blanks) for w in inner)
+        rows.append((10 + i, f"{words(rnd, rnd.randint(0, 90))} {mixed}{words(rnd, rnd.randint(0, 90))}"))
+    rows += [(50, passage[2]), (51, passage[2]), (52, passage[1]), (53, passage[1]), (54, f" {passage[0]}\n{passage[0]}\n")]
+    found = remove_repeats(make_docs(rows), word_strings(more_than), with_text=True).collect()
+    got = {r.doc_id: r.kept_text for r in found}
+    want = dict(zip([i for i, _ in rows], brute_words([t for _, t in rows], more_than)))
+    # equal texts of enough words go as a whole, white space before the first word stays
+    assert got == want
+    assert all(r.kept_sha256 == hashlib.sha256(r.kept_text.encode()).hexdigest() for r in found)
+    assert remove_repeats(make_docs([]), word_strings(more_than)).count() == 0
+
+
+def test_word_suffix_order_against_counting():
+    rnd = random.Random(30)
+    for more_than in (50, 11, 2):
+        kind = word_strings(more_than)
+        for _ in range(12):
+            pool = [np.array([rnd.getrandbits(3) for _ in range(rnd.randint(30, 200))], "<u8") for _ in range(3)]
+            texts = [np.concatenate([rnd.choice(pool)[rnd.randint(0, 9) :] for _ in range(2)]) for _ in range(rnd.randint(1, 6))]
+            n = kind.length
+            seen = Counter(t[i : i + n].tobytes() for t in texts for i in range(len(t) - n + 1))
+            for t, got in zip(texts, repeated_starts([t.tobytes() for t in texts], kind)):
+                assert got.tolist() == [seen[t[i : i + n].tobytes()] > 1 for i in range(len(t) - n + 1)]
 
 
 def test_no_key_collects_more_text_than_a_bucket(make_docs, monkeypatch):
