@@ -3,7 +3,9 @@
 A table grows by one folder per micro-batch (``batch_id=N``). Writing a batch
 overwrites its own folder, so a batch that is replayed after a failure leaves
 the table as if it had run once. A micro-batch costs what it brings in: the
-existing table is not rewritten. Readers take the newest row per key.
+existing table is not rewritten. Beside each batch stands what it holds and
+replaces (``manifest``), so numbering reads no data and readers fold only batches
+whose keys came again.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from kindred.operators.sizes import shipped
 from kindred.operators.store import latest_per_key
 from kindred.session import materialize
 from kindred.sources.tables import read_table, table_exists
+from kindred.streaming import manifest
 
 BatchStep = Callable[[DataFrame, int], DataFrame]
 
@@ -59,8 +62,9 @@ def batch_positions(batch: DataFrame) -> DataFrame:
 def run_ingest(stream: DataFrame, table: str, step: BatchStep, *, checkpoint: str | None = None) -> None:
     """Bring in everything new and stop. The checkpoint lives beside the data,
     one per table, so batch numbers of a table never start over."""
+    key = getattr(step, "key", None)
     query = (
-        stream.writeStream.foreachBatch(lambda batch, number: write_batch(step(batch, number), table, number))
+        stream.writeStream.foreachBatch(lambda batch, number: write_batch(step(batch, number), table, number, key))
         .option("checkpointLocation", checkpoint or f"{table}/_checkpoint")
         .trigger(availableNow=True)
         .start()
@@ -68,17 +72,52 @@ def run_ingest(stream: DataFrame, table: str, step: BatchStep, *, checkpoint: st
     query.awaitTermination()
 
 
-def write_batch(rows: DataFrame, table: str, number: int) -> None:
+def keyed(step: BatchStep, key: str) -> BatchStep:
+    """``step`` with the name of the key of its rows: its table gets a manifest."""
+    step.key = key
+    return step
+
+
+def write_batch(rows: DataFrame, table: str, number: int, key: str | None = None) -> None:
+    """Write one batch, and its manifest where the key is given or the table has one."""
+    spark = rows.sparkSession
     rows.write.mode("overwrite").parquet(f"{table}/batch_id={number}")
+    key = key or manifest.key_name(spark, table)
+    if key is not None:
+        manifest.commit_batch(spark, table, number, key)
 
 
 def current_rows(spark: SparkSession, table: str, key: str, *, within: str | None = None) -> DataFrame:
     """Newest row per key; ``within`` orders rows of the same batch.
 
-    Keys that stand once, all of them after mere appends, pass as they are. Only
-    the keys are counted; rows of repeated keys alone are shuffled and folded."""
+    Batches whose keys no other batch has pass as they are. In those where some
+    lost against a newer batch the lost rows are left out by a join, and only
+    batches that hold a key twice are folded. Rows without a key all pass."""
+    known = manifest.batches(spark, table)
+    if known is None or manifest.key_name(spark, table) != key:
+        return _folded_rows(read_table(spark, table), key, within)
+    # a batch whose commit is still to come is not there yet
+    newest = known.agg(F.max("batch_id")).first()[0]
+    rows = read_table(spark, table).filter(F.col("batch_id") <= newest)
+    hit, double, lost = manifest.touched_batches(spark, table, known)
+    if not hit and not double:
+        return rows.drop("batch_id")
+    out = rows.filter(~F.col("batch_id").isin(hit + double)).drop("batch_id")
+    plain = sorted(set(hit) - set(double))
+    if plain:
+        kept = manifest.without_superseded(rows.filter(F.col("batch_id").isin(plain)), lost, key)
+        out = out.unionByName(kept.select(*out.columns))
+    if double:
+        inside = rows.filter(F.col("batch_id").isin(double))
+        left = manifest.without_superseded(inside, lost, key) if hit else inside
+        out = out.unionByName(_folded_rows(left, key, within).select(*out.columns))
+    return out
+
+
+def _folded_rows(rows: DataFrame, key: str, within: str | None) -> DataFrame:
+    """Newest row per key without a manifest. Only the keys are counted; rows of
+    repeated keys alone are shuffled and folded."""
     order = ["batch_id"] if within is None else ["batch_id", within]
-    rows = read_table(spark, table)
     repeated = materialize(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(key), "repeated")
     n_repeated = repeated.count()
     if n_repeated == 0:
@@ -90,16 +129,24 @@ def current_rows(spark: SparkSession, table: str, key: str, *, within: str | Non
 
 def next_id(spark: SparkSession, table: str, key: str, number: int, id_mode: str) -> int:
     """First id of batch ``number``: behind the largest id of earlier batches
-    (``append``), the row count of earlier batches (``count``), or 0 (``restart``)."""
-    if id_mode == "restart" or not table_exists(spark, table):
+    (``append``), the number of keys in earlier batches (``count``), or 0
+    (``restart``). Where the table has a manifest no data is read."""
+    if id_mode not in ("restart", "count", "append"):
+        raise ValueError(f"unknown id mode: {id_mode}")
+    if id_mode == "restart":
+        return 0
+    known = manifest.batches(spark, table)
+    if known is not None:
+        before = known.filter(F.col("batch_id") < number)
+        total = F.max("largest_id") + 1 if id_mode == "append" else F.sum("n_new_keys")
+        return int(before.agg(total).first()[0] or 0)
+    if not table_exists(spark, table):
         return 0
     earlier = read_table(spark, table)
     if "batch_id" in earlier.columns:
         earlier = earlier.filter(F.col("batch_id") < number)
     if id_mode == "count":
         return earlier.select(key).distinct().count()
-    if id_mode != "append":
-        raise ValueError(f"unknown id mode: {id_mode}")
     # ids that are no numbers were given by somebody else and do not count
     largest = earlier.agg(F.max(F.col(key).cast("string").try_cast("bigint"))).first()[0]
     return 0 if largest is None else int(largest) + 1
@@ -115,7 +162,7 @@ def vector_step(
         numbered = batch_positions(batch).withColumn("row_id", F.col("pos") + F.lit(first).cast("bigint"))
         return make_points(numbered, factory, dim, payload_key=payload_key)
 
-    return step
+    return keyed(step, "point_id")
 
 
 def document_step(
@@ -135,7 +182,7 @@ def document_step(
             key = (F.col("pos") + F.lit(first).cast("bigint")).cast("string")
         return rows.select(key.alias("_id"), F.col("text").alias(source_key), "pos")
 
-    return step
+    return keyed(step, "_id")
 
 
 def link_step(points: DataFrame, factory: EmbedFactory, dim: int, **options: object) -> BatchStep:
@@ -145,4 +192,4 @@ def link_step(points: DataFrame, factory: EmbedFactory, dim: int, **options: obj
         products = batch_positions(batch).withColumnRenamed("text", "product_name")
         return nest_links(link_products(products, points, factory, dim, **options))
 
-    return step
+    return keyed(step, "product_name")
