@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kindred.operators.fulltext import match
 from kindred.operators.link import make_points, search_texts
 from kindred.plans.registry import query, table
-from kindred.plans.text_queries import _BENCH_POINTS, DIM, LINK_K, MODEL, hash_vectors_sql, topk_sql
+from kindred.plans.text_queries import _BENCH_POINTS, DIM, LINK_K, MODEL, _match_sql, hash_vectors_sql, topk_sql
 from kindred.session import new_work_path
 from kindred.sources.tables import read_table
-from kindred.streaming import ingest
+from kindred.streaming import ingest, statistics
 
 
 def _ingest_vectors(spark: SparkSession, sf_dir: str, glob: str) -> str:
@@ -101,3 +102,37 @@ def ingest_verified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("query", "rank", "point_id", F.round("score", 6).alias("score")).withColumn(
         "n_points", F.lit(points.count())
     )
+
+
+@query("SELECT CAST(row_number() OVER (ORDER BY doc_id) - 1 AS VARCHAR) AS _id, md5(text) AS source_md5 FROM documents")
+def ingest_default_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without given ids: their numbers, as strings."""
+    path = new_work_path(spark, "stream-numbered")
+    step = ingest.document_step(path, source_key="source")
+    ingest.run_ingest(ingest.text_stream(spark, sf_dir, "text", glob="documents.parquet", files_per_batch=1), path, step)
+    return ingest.current_rows(spark, path, "_id", within="pos").select("_id", F.md5("source").alias("source_md5"))
+
+
+_STORED = "(SELECT row_number() OVER (ORDER BY doc_id) - 1 AS pos, text FROM documents)"
+
+
+@query(
+    f"""WITH hits AS ({_match_sql(_STORED, 'pos', 'text', 'benchmark', 'item_id', 'text', 3)}),
+    t AS (SELECT len(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS dl FROM documents)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, score, CAST(doc_id AS VARCHAR) AS _id, (SELECT count(*) FROM documents) AS n_stored,
+      (SELECT count(*) FROM t WHERE dl > 0) AS n_docs, (SELECT CAST(sum(dl) AS BIGINT) FROM t) AS n_tokens FROM hits"""
+)
+def ingest_verified_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After a load of documents: how many there are, the corpus numbers that the
+    batches have left, and three matches for each sample query."""
+    path = new_work_path(spark, "stream-verified")
+    step = statistics.with_statistics(ingest.document_step(path, source_key="source"), "source")
+    ingest.run_ingest(ingest.text_stream(spark, sf_dir, "text", glob="documents.parquet", files_per_batch=1), path, step)
+    docs = ingest.current_rows(spark, path, "_id", within="pos")
+    _, totals = statistics.corpus_numbers(spark, path, "_id", "source", within="pos")
+    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+    # equal scores are ordered by position
+    hits = match(docs, asked, doc_id="pos", text="source", size=3)
+    counted = totals.select(F.lit(docs.count()).alias("n_stored"), "n_docs", "n_tokens")
+    named = hits.withColumn("_id", F.col("doc_id").cast("string")).drop("doc_id")
+    return named.crossJoin(F.broadcast(counted)).select("query_id", "rank", F.round("score", 6).alias("score"), "_id", "n_stored", "n_docs", "n_tokens")

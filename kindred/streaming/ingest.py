@@ -62,9 +62,14 @@ def batch_positions(batch: DataFrame) -> DataFrame:
 def run_ingest(stream: DataFrame, table: str, step: BatchStep, *, checkpoint: str | None = None) -> None:
     """Bring in everything new and stop. The checkpoint lives beside the data,
     one per table, so batch numbers of a table never start over."""
-    key = getattr(step, "key", None)
+
+    def write(batch: DataFrame, number: int) -> None:
+        write_batch(step(batch, number), table, number, getattr(step, "key", None))
+        if hasattr(step, "stored"):
+            step.stored(batch.sparkSession, table, number)
+
     query = (
-        stream.writeStream.foreachBatch(lambda batch, number: write_batch(step(batch, number), table, number, key))
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint or f"{table}/_checkpoint")
         .trigger(availableNow=True)
         .start()
@@ -93,25 +98,36 @@ def current_rows(spark: SparkSession, table: str, key: str, *, within: str | Non
     Batches whose keys no other batch has pass as they are. In those where some
     lost against a newer batch the lost rows are left out by a join, and only
     batches that hold a key twice are folded. Rows without a key all pass."""
+    untouched, touched, _ = current_parts(spark, table, key, within=within)
+    return untouched if touched is None else untouched.unionByName(touched)
+
+
+def current_parts(
+    spark: SparkSession, table: str, key: str, *, within: str | None = None
+) -> tuple[DataFrame, DataFrame | None, list[int]]:
+    """The rows of batches that are as they were written, the rows left of the
+    others (None if there are no such batches), and the numbers of those."""
     known = manifest.batches(spark, table)
     if known is None or manifest.key_name(spark, table) != key:
-        return _folded_rows(read_table(spark, table), key, within)
+        rows = read_table(spark, table)
+        numbers = [row["batch_id"] for row in rows.select("batch_id").distinct().collect()]
+        return rows.drop("batch_id").limit(0), _folded_rows(rows, key, within), numbers
     # a batch whose commit is still to come is not there yet
     newest = known.agg(F.max("batch_id")).first()[0]
     rows = read_table(spark, table).filter(F.col("batch_id") <= newest)
     hit, double, lost = manifest.touched_batches(spark, table, known)
     if not hit and not double:
-        return rows.drop("batch_id")
-    out = rows.filter(~F.col("batch_id").isin(hit + double)).drop("batch_id")
+        return rows.drop("batch_id"), None, []
+    untouched = rows.filter(~F.col("batch_id").isin(hit + double)).drop("batch_id")
+    parts = []
     plain = sorted(set(hit) - set(double))
     if plain:
-        kept = manifest.without_superseded(rows.filter(F.col("batch_id").isin(plain)), lost, key)
-        out = out.unionByName(kept.select(*out.columns))
+        parts.append(manifest.without_superseded(rows.filter(F.col("batch_id").isin(plain)), lost, key).drop("batch_id"))
     if double:
         inside = rows.filter(F.col("batch_id").isin(double))
-        left = manifest.without_superseded(inside, lost, key) if hit else inside
-        out = out.unionByName(_folded_rows(left, key, within).select(*out.columns))
-    return out
+        parts.append(_folded_rows(manifest.without_superseded(inside, lost, key) if hit else inside, key, within))
+    touched = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return untouched, touched.select(*untouched.columns), sorted({*hit, *double})
 
 
 def _folded_rows(rows: DataFrame, key: str, within: str | None) -> DataFrame:
