@@ -82,16 +82,20 @@ class PointBlock:
 
 
 class RunningTopK:
-    """Best k points per query row over all blocks seen so far."""
+    """Best k points per query row over all blocks seen so far.
 
-    def __init__(self, matrix: np.ndarray, k: int) -> None:
+    ``floor`` gives each query a score that k points elsewhere are known to reach;
+    points below it are not taken."""
+
+    def __init__(self, matrix: np.ndarray, k: int, floor: np.ndarray | None = None) -> None:
         self.k = k
         self.matrix = matrix
         self.norm = norms_of(matrix)
         self.unit = (matrix / self.norm[:, None]).astype(np.float32)
         # rounding error of a single precision dot product of unit vectors
         self.slack = (matrix.shape[1] + 4) * 2.0**-23
-        self.worst = np.full(len(matrix), -np.inf)
+        self.floor = np.full(len(matrix), -np.inf) if floor is None else floor
+        self.worst = self.floor.copy()
         self.row = np.empty(0, dtype=np.int64)
         self.score = np.empty(0, dtype=np.float64)
         self.point: np.ndarray | None = None
@@ -122,8 +126,12 @@ class RunningTopK:
                 continue
             hit_row += q0
             hit_point += c0
+            exact = self._exact(hit_row, hit_point, block)
+            reaches = exact >= self.floor[hit_row]
+            if not reaches.all():
+                hit_row, hit_point, exact = hit_row[reaches], hit_point[reaches], exact[reaches]
             row = np.concatenate([row, hit_row])
-            score = np.concatenate([score, self._exact(hit_row, hit_point, block)])
+            score = np.concatenate([score, exact])
             point = np.concatenate([point, block.ids[hit_point]])
             order = np.lexsort((point, -score, row))
             row, score, point = row[order], score[order], point[order]

@@ -12,7 +12,12 @@ Three ways to run the same join; ``strategy="auto"`` chooses by counted size:
              are shuffled.
 ``grid``     both sides are large: each side is hashed into parts of bounded
              size and every (query part, point part) cell is one task-sized
-             group. Only k hits per query and cell leave a cell.
+             group.
+
+Where hits are shuffled, a first pass over a hashed sample of the points gives
+each query a floor: the score of the k-th best point of the sample. The pass over
+all points sends only hits that reach it, in all some k divided by the sample's
+share per query, however many parts or tasks there are.
 """
 
 from __future__ import annotations
@@ -28,9 +33,15 @@ from pyspark.sql import types as T
 
 from kindred.functions import vectors
 from kindred.operators.kernel import PointBlock, RunningTopK, ids_of, matrix_of
+from kindred.session import materialize
 
 BROADCAST_BYTES = 256 << 20
 PART_BYTES = 64 << 20
+#: One point in so many is in the first pass; it is left out where it would hold fewer than this many times k points.
+SAMPLE_SHARE = 16
+SAMPLE_TIMES_K = 4
+#: Room for rounding between the two passes.
+FLOOR_ROOM = 1e-12
 FLOAT_BYTES = 4
 
 
@@ -83,25 +94,50 @@ def topk_join(
             strategy = "queries" if n_queries * row_bytes <= broadcast_bytes else "grid"
     if strategy == "points":
         return _stream_queries(q, _bounded(p, broadcast_bytes // row_bytes), p, k, dim)
-    if strategy == "queries":
-        return best_per_query(_stream_points(_bounded(q, broadcast_bytes // row_bytes), q, p, k, dim), k)
-    if strategy != "grid":
+    if strategy not in ("queries", "grid"):
         raise ValueError(f"unknown strategy: {strategy}")
+    n_points = points.count() if n_points is None else n_points
     part_rows = max(1, part_bytes // row_bytes)
+    if strategy == "queries":
+        table = _bounded(q, broadcast_bytes // row_bytes)
+        if _worth_a_sample(n_points, k):
+            hits = best_per_query(_stream_points(table, q, sampled(p), k, dim), k)
+            table = _bounded(with_floor(q, hits, k), broadcast_bytes // row_bytes)
+        return best_per_query(_stream_points(table, q, p, k, dim), k)
     n_queries = queries.count() if n_queries is None else n_queries
-    n_points = points.count() if n_points is None else n_points
+    return best_per_query(grid_hits(q, p, k, dim, n_queries, n_points, part_rows), k)
+
+
+def grid_hits(q: DataFrame, p: DataFrame, k: int, dim: int, n_queries: int, n_points: int, part_rows: int) -> DataFrame:
+    """Candidate hits of the ``grid`` way, in two passes."""
     whole = F.lit(0).alias("cell")
-    return best_per_query(
-        topk_in_cells(
-            q.select("*", whole),
-            p.select("*", whole),
-            k,
-            dim,
-            query_parts=F.lit(max(1, ceil(n_queries / part_rows))),
-            point_parts=F.lit(max(1, ceil(n_points / part_rows))),
-        ),
-        k,
-    )
+
+    def parts(n: float) -> Column:
+        return F.lit(max(1, ceil(n / part_rows)))
+
+    def hits(asked: DataFrame, among: DataFrame, n_among: float) -> DataFrame:
+        return topk_in_cells(
+            asked.select("*", whole), among.select("*", whole), k, dim, query_parts=parts(n_queries), point_parts=parts(n_among)
+        )
+
+    if n_points > part_rows and _worth_a_sample(n_points, k):
+        q = materialize(with_floor(q, best_per_query(hits(q, sampled(p), n_points / SAMPLE_SHARE), k), k), "floors")
+    return hits(q, p, n_points)
+
+
+def _worth_a_sample(n_points: int, k: int) -> bool:
+    return n_points >= SAMPLE_SHARE * SAMPLE_TIMES_K * k
+
+
+def sampled(p: DataFrame) -> DataFrame:
+    """The points of the first pass, chosen by their id."""
+    return p.filter(F.pmod(F.xxhash64("point_id", F.lit(3)), F.lit(SAMPLE_SHARE)) == 0)
+
+
+def with_floor(q: DataFrame, sample_hits: DataFrame, k: int) -> DataFrame:
+    """Queries with the score that k points of the sample reach; null where the sample has fewer."""
+    floors = sample_hits.filter(F.col("rank") == k).select("query_id", (F.col("score") - FLOOR_ROOM).alias("floor"))
+    return q.join(floors, "query_id", "left")
 
 
 def topk_in_cells(
@@ -113,11 +149,12 @@ def topk_in_cells(
     a hash of the ids: a query goes to every point part of its cell and a point
     to every query part, so a hot cell spreads over many tasks and no group
     outgrows its part size. The hash depends on the id alone, so a re-run of a
-    lost task rebuilds the same groups.
+    lost task rebuilds the same groups. Queries may have a ``floor``.
     """
     q = q.select(
         "query_id",
         "q_vec",
+        (F.col("floor") if "floor" in q.columns else F.lit(None).cast("double")).alias("floor"),
         "cell",
         F.pmod(F.xxhash64("query_id"), query_parts).cast("int").alias("q_part"),
         F.explode(F.sequence(F.lit(0), (point_parts - 1).cast("int"))).alias("p_part"),
@@ -135,7 +172,7 @@ def topk_in_cells(
     def join_group(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows == 0 or right.num_rows == 0:
             return arrow_schema.empty_table()
-        running = RunningTopK(matrix_of(left["q_vec"], dim), k)
+        running = RunningTopK(matrix_of(left["q_vec"], dim), k, _floor(left))
         running.update(PointBlock(ids_of(right["point_id"]), matrix_of(right["p_vec"], dim), k))
         return pa.Table.from_batches([_hits(running, left["query_id"], arrow_schema)], arrow_schema)
 
@@ -202,7 +239,7 @@ def _stream_points(table: pa.Table, q: DataFrame, p: DataFrame, k: int, dim: int
         queries = shared.value
         if queries.num_rows == 0:
             return
-        running = RunningTopK(matrix_of(queries["q_vec"], dim), k)
+        running = RunningTopK(matrix_of(queries["q_vec"], dim), k, _floor(queries))
         for batch in batches:
             if batch.num_rows:
                 running.update(PointBlock(ids_of(batch["point_id"]), matrix_of(batch["p_vec"], dim), k))
@@ -212,6 +249,13 @@ def _stream_points(table: pa.Table, q: DataFrame, p: DataFrame, k: int, dim: int
     return p.mapInArrow(search, schema)
 
 
+def _floor(queries: pa.Table) -> np.ndarray | None:
+    if "floor" not in queries.column_names:
+        return None
+    floor = queries["floor"].to_numpy().astype(np.float64)
+    return np.where(np.isnan(floor), -np.inf, floor)
+
+
 def _hit_schema(q: DataFrame, p: DataFrame) -> T.StructType:
     return T.StructType(
         [

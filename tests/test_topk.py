@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.errors import PythonException
 
+from kindred.operators import topk
 from kindred.operators.cells import build_cells, topk_cells, topk_probed, train_centroids
 from kindred.operators.kernel import PointBlock, RunningTopK, surplus_copies
 from kindred.operators.topk import topk_join, topk_one
@@ -165,3 +166,48 @@ def test_running_topk_over_many_blocks_equals_one_block():
         parts.update(PointBlock(ids[s : s + 37], points[s : s + 37], 9))
     assert whole.point.tolist() == parts.point.tolist()
     assert whole.score.tolist() == parts.score.tolist()
+
+
+def _grid(spark, n_points, part_rows, k):
+    rng = np.random.default_rng(9)
+    queries = frame(spark, range(40), rng.normal(size=(40, DIM)))
+    points = frame(spark, range(n_points), rng.normal(size=(n_points, DIM)))
+    q = topk.query_side(queries, "id", "vector")
+    p = topk.point_side(points, "id", "vector")
+    return queries, points, topk.grid_hits(q, p, k, DIM, 40, n_points, part_rows)
+
+
+def test_hits_that_are_shuffled_do_not_grow_with_the_parts(spark):
+    """Five times the parts send the same hits: some k / share per query, not k per query and part."""
+    k, n_points = 5, 3_000
+    _, _, few = _grid(spark, n_points, 100, k)
+    queries, points, many = _grid(spark, n_points, 20, k)
+    n_few, n_many = few.count(), many.count()
+    assert n_many < 1.2 * n_few
+    assert n_many < 1.5 * 40 * k * topk.SAMPLE_SHARE < 40 * k * 150 / 4
+    expected = {r["id"]: r["vector"] for r in points.collect()}
+    truth = brute_force([(r["id"], r["vector"]) for r in queries.collect()], list(expected.items()), k)
+    assert_same(topk.best_per_query(many, k), truth)
+
+
+@pytest.mark.parametrize("strategy", ["queries", "grid"])
+def test_floors_keep_ties_and_queries_without_enough_hits(spark, strategy):
+    """Copies tie with the k-th hit of the sample; ids decide. One query has no direction, one is null."""
+    rng = np.random.default_rng(4)
+    matrix = np.repeat(rng.normal(size=(30, DIM)), 40, axis=0)
+    points = frame(spark, range(len(matrix)), matrix)
+    queries = np.vstack([matrix[::240], np.zeros(DIM)])
+    asked = frame(spark, range(len(queries)), queries)
+    truth = brute_force(list(enumerate(queries)), list(enumerate(matrix)), 6)
+    assert_same(topk_join(asked, points, 6, DIM, query_id="id", point_id="id", strategy=strategy, part_bytes=4 * DIM * 100), truth)
+    assert topk.sampled(topk.point_side(points, "id", "vector")).count() > 0
+
+
+def test_a_floor_drops_what_is_below(spark):
+    rng = np.random.default_rng(2)
+    queries, points = rng.normal(size=(5, DIM)).astype("float32"), rng.normal(size=(200, DIM)).astype("float32")
+    free, bound = RunningTopK(queries, 7), RunningTopK(queries, 7, np.full(5, 0.5))
+    for running in (free, bound):
+        running.update(PointBlock(np.arange(200), points, 7))
+    high = free.score >= 0.5
+    assert np.array_equal(bound.score, free.score[high]) and np.array_equal(bound.point, free.point[high])
