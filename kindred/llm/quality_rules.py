@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kindred.operators.sizes import shipped
 from kindred.session import materialize
 
 SPACE_RUN = "[\\x20\\x09-\\x0D]+"
@@ -180,16 +181,21 @@ def _judged(
     # the columns that pass through travel in one struct, so no name can clash
     row = F.struct(*carried) if carried else F.lit(None).cast("string")
 
-    def featured(carrying: Column) -> DataFrame:
-        taken = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), stratum.alias("stratum"), carrying.alias("row"))
+    def featured(source: DataFrame, carrying: Column) -> DataFrame:
+        taken = source.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), stratum.alias("stratum"), carrying.alias("row"))
         return features(taken, keep=("stratum", "row")).withColumn("base_failed", base_failed(min_words, max_repeat_percent))
 
-    counted = materialize(featured(F.lit(None).cast("string")).drop("row"), "quality-features")
     good = (
         labels.filter(F.col(id_col).isNotNull() & F.col("quality").isNotNull())
         .groupBy(F.col(id_col).alias("doc_id"))
         .agg((F.min("quality") == 1).alias("good"))
     )
+    source = docs
+    if carried:
+        # cutoffs follow from labelled rows alone; the others are looked at once, at the end
+        ids = materialize(good.select(F.col("doc_id").alias("_kd_label_id")), "labelled")
+        source = docs.join(shipped(ids, ids.count()), docs[id_col] == ids["_kd_label_id"], "left_semi")
+    counted = materialize(featured(source, F.lit(None).cast("string")).drop("row"), "quality-features")
     labelled = counted.filter("not base_failed").join(good, "doc_id").dropDuplicates(["doc_id"])
     cutoffs = choose_cutoffs(labelled, rules, max_false_rejection=max_false_rejection, error=error)
     wide = cutoffs.groupBy("stratum").pivot("rule", [r.name for r in rules]).agg(F.min("cutoff"))
@@ -204,7 +210,7 @@ def _judged(
         # texts are not written between the two passes: the features are taken again. The
         # one-row explode keeps the filter above it, which would else be pushed down and
         # have every use of a feature compute it anew.
-        counted = featured(row).select(F.explode(F.array(F.struct("*"))).alias("f")).select("f.*")
+        counted = featured(docs, row).select(F.explode(F.array(F.struct("*"))).alias("f")).select("f.*")
     return counted.join(wide, "stratum", "left").withColumn("kept", ~F.col("base_failed") & ~rejected)
 
 
