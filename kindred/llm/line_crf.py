@@ -10,6 +10,7 @@ row-local: batches of documents run through the field together.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -56,13 +57,11 @@ class Lines:
     counts: np.ndarray
 
 
-def lines_of(texts: list[str], max_lines: int | None = None) -> Lines:
+def lines_of(texts: list[str]) -> Lines:
     raw: list[bytes] = []
     counts, again, variety = [], [], []
     for text in texts:
         own = [line for line in text.encode().split(b"\n") if line and not line.isspace()]
-        if max_lines is not None:
-            own = own[:max_lines]
         seen: set[bytes] = set()
         for line in own:
             again.append(line in seen)
@@ -216,9 +215,17 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def _window(text: str, n_lines: int) -> slice:
+    """The lines of a text that are trained on."""
+    start = zlib.crc32(text.encode()) % (n_lines - TRAINING_LINES + 1) if n_lines > TRAINING_LINES else 0
+    return slice(start, start + TRAINING_LINES)
+
+
 def fit_field(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> LineField:
     """The field of at most ``TRAINING_DOCUMENTS`` labelled rows outside the held-out
-    part, taken by a hash of their ids, and at most ``TRAINING_LINES`` lines of each.
+    part, taken by a hash of their ids. Of a text with more than ``TRAINING_LINES`` lines
+    a window of so many counts, whose place follows from a hash of the text; the features
+    of its lines are those in the whole text.
 
     Repeated labels of an id count as one, good only if all are good. Without
     labels the field is even: every score is 0.5.
@@ -233,13 +240,14 @@ def fit_field(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", tex
 
     def described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            parts = [lines_of([text or ""], TRAINING_LINES) for text in batch["text"]]
+            parts = [lines_of([text or ""]) for text in batch["text"]]
+            windows = [_window(text or "", len(p.lengths)) for text, p in zip(batch["text"], parts)]
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"],
                     "label": batch["label"],
-                    "features": [p.features.astype("<f4").tobytes() for p in parts],
-                    "lengths": [p.lengths.astype("<i4").tobytes() for p in parts],
+                    "features": [p.features[w].astype("<f4").tobytes() for p, w in zip(parts, windows)],
+                    "lengths": [p.lengths[w].astype("<i4").tobytes() for p, w in zip(parts, windows)],
                 }
             )
 
@@ -248,6 +256,8 @@ def fit_field(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", tex
     chosen = narrow.join(F.broadcast(known), "doc_id").select("doc_id", "label", "text")
     rows = (
         chosen.mapInPandas(described, "doc_id bigint, label int, features binary, lengths binary")
+        # ids may be repeated: which rows are taken does not depend on the order of tasks
+        .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("features"))
         .limit(TRAINING_DOCUMENTS)
         .toPandas()
         .sort_values(["doc_id", "features"], ignore_index=True)

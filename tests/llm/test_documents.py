@@ -182,3 +182,20 @@ def test_chain_against_enumeration():
             for a, b in zip(p, p[1:]):
                 pairs[a, b] += w
     assert np.allclose(marginal, want) and np.allclose(expected, pairs)
+
+
+def test_training_windows_are_no_prefixes(spark):
+    """Of long texts a window placed by a hash, with the features of the whole text."""
+    from kindred.llm import line_crf
+
+    n = line_crf.TRAINING_LINES
+    starts = {line_crf._window(f"text {i}", 10 * n).start for i in range(50)}
+    assert len(starts) > 40 and all(0 <= s <= 9 * n for s in starts)
+    assert line_crf._window("short", n) == slice(0, n)
+    # what tells good from bad stands behind the first lines only
+    good, bad = "A plain sentence that ends well, as it should.", "$$$ click >>> %%% win ### 000 |||"
+    rows = [(i, "\n".join(["same line here"] * n + [good if i % 2 else bad] * 30 * n)) for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i, _ in rows], "doc_id bigint, quality int, toxic int")
+    scored = {r.doc_id: r.score for r in line_crf.score_documents(docs, line_crf.fit_field(docs, labels)).collect()}
+    assert min(scored[i] for i in scored if i % 2) > max(scored[i] for i in scored if not i % 2)
