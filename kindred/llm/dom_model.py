@@ -5,7 +5,10 @@ features give its potential, and each parent-child edge one for the pair of
 labels. Sum-product messages go up from the leaves and down from the root, so
 each node's marginal takes the whole page into account. The potentials are
 trained by exact gradients on labelled pages, which are written by rule from
-layouts of common parts; nothing is taken from the pages that are read.
+layouts of common parts; nothing is taken from the pages that are read. Names of
+classes are one kind of evidence among others (how much of the page's text and of
+its links a node holds, prose, where it stands to the main heading), and a share of
+the labelled pages has names that say nothing or the wrong thing.
 
 Pages are independent: a batch of them is one forest, and messages of all its
 nodes of one depth are computed together.
@@ -44,6 +47,8 @@ CLOSES_P = frozenset(
     "menu nav ol p pre section table ul".split()
 )
 CLOSED_BY_OWN_KIND = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+#: What a drawing cannot hold; it ends there if its end tag is missing.
+ENDS_SVG = CLOSES_P | (INLINE - MATH - {"a"}) | frozenset("body li dt dd tr td th tbody thead caption noscript object math form button input".split())
 SCOPES = frozenset("html body table ul ol dl div article section main aside nav td th form".split())
 
 TAG_GROUPS = (
@@ -75,6 +80,7 @@ _TOKEN = re.compile(
 _MARKING = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _LABEL = re.compile(r'data-label="([01])"')
 _WORD = re.compile(r"[a-z]+")
+_IN_SVG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in RAW}
 
 
@@ -99,6 +105,7 @@ def parse(source: str) -> Page:
     """Tree and text blocks; tolerates what is unclosed, misnested or cut off."""
     page = Page()
     stack: list[tuple[str, int]] = []  # open elements and the node that each belongs to
+    places: dict[str, list[int]] = {}  # of each tag, where it stands in the stack
     buffer: list[str] = []
     link_chars, in_link, hidden = 0, 0, 0
 
@@ -128,26 +135,45 @@ def parse(source: str) -> Page:
         page.labels.append(int(label[1]) if label else -1)
         return len(page.tags) - 1
 
+    def push(tag: str, node: int) -> None:
+        places.setdefault(tag, []).append(len(stack))
+        stack.append((tag, node))
+
+    def last(names: set[str] | frozenset[str]) -> int:
+        return max((places[name][-1] for name in names if places.get(name)), default=-1)
+
     def close(until: int) -> None:
         nonlocal in_link, hidden
         flush_needed = any(tag not in INLINE for tag, _ in stack[until:])
         if flush_needed:
             flush()
         for tag, _ in stack[until:]:
+            places[tag].pop()
             in_link -= tag == "a"
             hidden -= tag == "head"
         del stack[until:]
 
     def close_nearest(names: set[str] | frozenset[str], scopes: frozenset[str]) -> None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in names:
-                close(i)
-                return
-            if stack[i][0] in scopes:
-                return
+        at = last(names)
+        if at >= 0 and at >= last(scopes):
+            close(at)
+
+    def end_of_svg(at: int) -> int:
+        """Behind the end tag, or before what a drawing cannot hold."""
+        foreign = 0
+        for m in _IN_SVG.finditer(source, at):
+            name = m[2].lower()
+            if name == "foreignobject":
+                foreign += -1 if m[1] else 1
+            elif m[1] and name == "svg":
+                closing = source.find(">", m.end())
+                return closing + 1 if closing >= 0 else len(source)
+            elif not foreign and (places.get(name) if m[1] else name in ENDS_SVG):
+                return m.start()
+        return len(source)
 
     add_node("html", "")
-    stack.append(("html", 0))
+    push("html", 0)
     at, size = 0, len(source)
     while at < size:
         mark = source.find("<", at)
@@ -174,6 +200,10 @@ def parse(source: str) -> Page:
                 close_nearest({"head"}, frozenset())
             if tag == "svg" and closed:
                 continue
+            if tag == "svg":
+                at = end_of_svg(at)
+                buffer.append(" ")
+                continue
             if tag in RAW:
                 closing = _RAW_END[tag].search(source, at)
                 at = closing.end() if closing else size
@@ -183,7 +213,7 @@ def parse(source: str) -> Page:
                 if tag in ("br", "img", "wbr"):
                     buffer.append(" ")
                 elif not (closed and tag in MATH):
-                    stack.append((tag, node_of_top()))
+                    push(tag, node_of_top())
                     in_link += tag == "a"
                 continue
             flush()
@@ -195,23 +225,79 @@ def parse(source: str) -> Page:
                 continue
             node = add_node(tag, attrs)
             if tag not in VOID and not closed:
-                stack.append((tag, node))
+                push(tag, node)
                 hidden += tag == "head"
         elif token["end"]:
             tag = token["end"].lower()
             if tag == "br":
                 buffer.append(" ")
-            elif tag not in ("html", "body"):
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == tag:
-                        close(i)
-                        break
+            elif tag not in ("html", "body") and places.get(tag):
+                close(places[tag][-1])
     flush()
     return page
 
 
 _N_TAGS, _N_WORDS = len(TAG_GROUPS), len(WORD_GROUPS)
-N_FEATURES = 1 + _N_TAGS + 1 + _N_WORDS + 7
+_N_OWN, _N_PLACE = 7, 16
+N_FEATURES = 1 + _N_TAGS + 1 + _N_WORDS + _N_OWN + _N_PLACE
+#: A block of prose: long enough, ends like a sentence, not mostly a link.
+PROSE_CHARS = 60
+
+
+def _below(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sums over the nodes of each subtree; nodes stand in page order."""
+    total = np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0)])
+    return total[ends] - total[:-1]
+
+
+def _subtree_ends(parents: list[int]) -> np.ndarray:
+    sizes = [1] * len(parents)
+    for i in range(len(parents) - 1, 0, -1):
+        sizes[parents[i]] += sizes[i]
+    return np.arange(len(parents)) + np.array(sizes)
+
+
+def place_features(page: Page) -> np.ndarray:
+    """What a node and all below it hold of the page, and where it stands."""
+    n = len(page.tags)
+    own = np.zeros((n, 4))  # characters, characters in links, blocks, characters of prose
+    for node, text, linked in page.blocks:
+        linked = min(linked, len(text))
+        prose = len(text) >= PROSE_CHARS and text[-1] in ".!?…:;\"'”" and 2 * linked < len(text)
+        own[node] += (len(text), linked, 1, len(text) * prose)
+    ends = _subtree_ends(page.parents)
+    below = _below(own, ends)
+    chars, links, blocks, prose = below.T
+    parents = np.maximum(page.parents, 0)
+    share = chars / max(chars[0], 1)
+    among = chars / np.maximum(chars[parents], 1)
+    among_prose = prose / np.maximum(prose[parents], 1)
+    before = np.concatenate([[0], np.cumsum(own[:, 0])[:-1]]) / max(chars[0], 1)
+    # the main heading: the first h1 outside of links that has a text, else the first h2
+    said = [i for level in ("h1", "h2") for i, tag in enumerate(page.tags) if tag == level and chars[i] > links[i]]
+    frame, heading = 0, -1
+    if said:
+        heading = frame = said[0]
+        while frame and not prose[frame]:
+            frame = page.parents[frame]
+    at = np.arange(n)
+    has_heading = (at <= heading) & (heading < ends) if said else np.zeros(n, bool)
+    in_frame = (frame <= at) & (at < ends[frame])
+    whole = np.array([tag in ("article", "main") for tag in page.tags])
+    inside = whole.copy()
+    for i in range(1, n):
+        inside[i] |= inside[page.parents[i]]
+    alike: dict[tuple[int, str], int] = {}
+    kinds = [(p, tag) for p, tag in zip(page.parents, page.tags)]
+    for i, kind in enumerate(kinds):
+        alike[kind] = alike.get(kind, 0) + (ends[i] > i + 1)
+    nested = np.array([alike[kind] if ends[i] > i + 1 else 0 for i, kind in enumerate(kinds)])
+    columns = (
+        np.log1p(chars) / 8, links / np.maximum(chars, 1), share, among, among_prose, prose / np.maximum(chars, 1), prose > 0,
+        np.log1p(chars / np.maximum(blocks, 1)) / 6, has_heading, in_frame & (frame > 0), (heading >= 0) & (at > heading), before, 1 - before - share,
+        inside, inside.any() & ~inside & ~(_below(whole.astype(float), ends) > 0), np.log1p(nested) / 2,
+    )
+    return np.stack([np.asarray(c, float) for c in columns], axis=1)
 
 
 def node_features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -247,6 +333,7 @@ def node_features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     says_other = x[:, first_word : first_word + 8].any(axis=1)
     x[:, own + 5] = says_other
     x[:, own + 6] = says_other & (x[:, first_word + 8] > 0)
+    x[:, own + _N_OWN :] = np.concatenate([place_features(p) for p in pages])
     return x, parents, depths
 
 
@@ -333,6 +420,16 @@ def _links(rnd: random.Random, label: int) -> str:
     return _tagged("ul", label, items)
 
 
+def _unknown(rnd: random.Random) -> str:
+    """A name that no list holds."""
+    return "".join(rnd.choice("bfghjkpqvwxyz") + rnd.choice("aeiou") for _ in range(rnd.randint(2, 4)))
+
+
+def _renamed(rnd: random.Random, page: str, share: float) -> str:
+    """The page with a share of its class names and ids replaced by unknown ones."""
+    return re.sub(r'(class|id)="[^"]*"', lambda m: f'{m[1]}="{_unknown(rnd)}"' if rnd.random() < share else m[0], page)
+
+
 def _other_part(rnd: random.Random) -> str:
     """A part of a page that is not its article."""
     kind = rnd.choice(["nav", "header", "footer", "side", "ad", "notice", "comments", "form", "share"])
@@ -341,12 +438,14 @@ def _other_part(rnd: random.Random) -> str:
     tag = own_tag if own_tag and rnd.random() < 0.6 else rnd.choice(["div", "section", "div", "aside" if kind in ("side", "ad") else "div"])
     marks = f'{rnd.choice(["class", "id"])}="{rnd.choice(words)}"' if tag != own_tag or rnd.random() < 0.4 else ""
     style = rnd.random()
-    if kind == "nav" or style < 0.25:
+    if kind == "nav" or style < 0.25 and kind != "comments":
         inner = _links(rnd, 0)
     elif kind == "comments":
         inner = "".join(
             _tagged("div", 0, _tagged("p", 0, _sentence(rnd, 3, 40)), 'class="comment"' * (rnd.random() < 0.7)) for _ in range(rnd.randint(1, 4))
         )
+        if rnd.random() < 0.5:
+            inner = _tagged(rnd.choice(["h2", "h3", "h4"]), 0, _sentence(rnd, 1, 3, False)) + inner
     elif style < 0.6:
         inner = _sentence(rnd, 2, 25, rnd.random() < 0.7)
     else:
@@ -364,8 +463,15 @@ def _article(rnd: random.Random) -> str:
             blocks.append(_tagged("ul", 1, "".join(_tagged("li", 1, _sentence(rnd, 2, 14)) for _ in range(rnd.randint(2, 4)))))
         elif r < 0.9:
             blocks.append(_tagged(rnd.choice(["blockquote", "pre"]), 1, _sentence(rnd, 4, 30)))
-        elif r < 0.96:
+        elif r < 0.93:
             blocks.append(_tagged(rnd.choice(["h2", "h3"]), 1, _sentence(rnd, 1, 6, False)))
+        elif r < 0.95:
+            blocks.append(_links(rnd, 1))
+        elif r < 0.98:
+            # a part of the article under a name that says something else, or nothing
+            inner = "".join(_tagged("p", 1, _sentence(rnd, 12, 60)) for _ in range(rnd.randint(1, 3)))
+            name = rnd.choice([_unknown(rnd), rnd.choice(rnd.choice(WORD_GROUPS[3:8]).split())])
+            blocks.append(_tagged(rnd.choice(["div", "section"]), 1, inner, f'class="{name}{rnd.choice(["", "-text", "-body"])}"'))
         else:
             row = _tagged("tr", 1, "".join(_tagged("td", 1, _sentence(rnd, 1, 3, False)) for _ in range(3)))
             blocks.append(_tagged("table", 1, row + row))
@@ -377,7 +483,7 @@ def _article(rnd: random.Random) -> str:
     return _tagged(tag, 1, "".join(blocks), marks)
 
 
-def labelled_pages(n: int = 300, seed: int = 7) -> list[Page]:
+def labelled_pages(n: int = 600, seed: int = 7) -> list[Page]:
     """Pages of an article among other parts, every node labelled; the frame
     around an article counts as content."""
     rnd = random.Random(seed)
@@ -388,7 +494,9 @@ def labelled_pages(n: int = 300, seed: int = 7) -> list[Page]:
         middle = _article(rnd)
         if rnd.random() < 0.3:
             middle = _tagged("div", 1, middle + (_other_part(rnd) if rnd.random() < 0.5 else ""), rnd.choice(["", 'class="page"', 'id="main"', 'class="wrap"']))
-        page = parse(f'<html><body data-label="1">{"".join(parts)}{middle}{"".join(after)}</body></html>')
+        body = f'{"".join(parts)}{middle}{"".join(after)}'
+        body = _renamed(rnd, body, rnd.choice([0, 0, 0.3, 1]))
+        page = parse(f'<html><body data-label="1">{body}</body></html>')
         page.labels[0] = 1
         pages.append(page)
     return pages

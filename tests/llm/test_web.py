@@ -5,6 +5,7 @@ import io
 import itertools
 import random
 import struct
+import time
 
 import numpy as np
 import pytest
@@ -119,6 +120,50 @@ def test_head_ends_without_its_tag(head):
     assert [t for _, t, _ in inline.blocks] == [LONG]
 
 
+def _extracted(body):
+    return trained_model().texts([f"<html><head><title>T</title></head><body>{body}</body></html>"])[0]
+
+
+def test_article_under_names_that_say_something_else():
+    parts = f"<div class='more-text'><p>{LONG}</p><p>{LONG}</p></div><section class='discussion'><h2>Discussion</h2><p>{LONG}</p><p>{LONG}</p></section>"
+    text = _extracted(f"<nav><a href='/'>Home</a></nav><article class='story'><h1>Head line</h1>{parts}</article><footer>Foot</footer>")
+    assert text.split("\n\n") == ["Head line", LONG, LONG, "Discussion", LONG, LONG]
+
+
+@pytest.mark.parametrize("drawing", [
+    "<svg viewBox='0 0 1 1'><path d='M0'>", "<svg><g><text>drawn</text>", "<svg><foreignObject><p>drawn</p></foreignObject><text>drawn</text></svg>",
+    "<svg><a href='x'><text>drawn</text></a>", "<div><svg><path></div>",
+])
+def test_drawings_end(drawing):
+    assert _extracted(f"<article><h1>Head line</h1><p>{LONG}</p>{drawing}<p>{LONG}</p><p>{LONG}</p></article>").split("\n\n") == ["Head line", LONG, LONG, LONG]
+
+
+def test_links_inside_the_article_stay():
+    items = "".join(f"<li><a href='/{i}'>Source {i} of the text</a></li>" for i in range(2))
+    text = _extracted(f"<nav><a href='/'>Home</a></nav><main><h1>Head line</h1><p>{LONG}</p><ul>{items}</ul><p>{LONG}</p></main><footer>Foot</footer>")
+    assert text.split("\n\n") == ["Head line", LONG, "Source 0 of the text", "Source 1 of the text", LONG]
+
+
+@pytest.mark.parametrize("names", [
+    ("kopf", "inhalt", "kommentare", "beitrag", "fuss"), ("entete", "contenu", "avis", "avis-un", "pied"), ("c1", "c2", "c3", "c4", "c5"), ("", "", "", "", ""),
+])
+def test_layouts_with_foreign_names(names):
+    top, middle, talk, one, foot = (f" class='{n}'" if n else "" for n in names)
+    comments = "".join(f"<div{one}><p>{said}</p></div>" for said in ("Sehr gut.", "Das sehe ich ganz anders.", "Danke!"))
+    text = _extracted(
+        f"<div{top}><a href='/'>Start</a> <a href='/n'>Neues</a></div><div{middle}><h1>Titel der Seite</h1>{f'<p>{LONG}</p>' * 3}</div>"
+        f"<div{talk}><h3>Kommentare</h3>{comments}</div><div{foot}><p>Impressum</p><p>Alle Rechte vorbehalten.</p></div>"
+    )
+    assert text.split("\n\n") == ["Titel der Seite", LONG, LONG, LONG]
+
+
+@pytest.mark.parametrize("markup", ["<b>" * 100_000 + "</i></u>" * 100_000, "<p><b></div>" * 50_000, "<svg>" * 50_000])
+def test_parser_is_linear(markup):
+    begun = time.process_time()
+    parse(f"<article><p>{markup}{LONG}")
+    assert time.process_time() - begun < 6
+
+
 def test_parser_takes_anything():
     for source in ("<", "<a", "<!--", "</", "</p>", "<p", "<script>", "<p class='x", "a<b>c", "<table><tr><td>x<td>y", "<li>a<li>b", "\x00<é>"):
         parse(source)
