@@ -23,6 +23,11 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return linked.union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).filter("a != b")
 
 
+def star_round(edges: DataFrame) -> DataFrame:
+    """Edges (a > b) of the same components, each nearer to its smallest node; written."""
+    return materialize(_small_star(_large_star(edges).distinct()).distinct(), "edges")
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """node, root (the component's smallest node) for every end of an edge.
 
@@ -34,7 +39,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     current = materialize(edges.select("a", "b").filter("a != b").distinct(), "edges")
     seen = None
     while True:
-        stars = materialize(_small_star(_large_star(current).distinct()).distinct(), "edges")
+        stars = star_round(current)
         # equal count and equal hash sum: the round changed nothing
         now = stars.agg(
             F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
