@@ -6,13 +6,16 @@ The bucket totals (a bounded number of rows) are summed up in one small window
 and added to the running total inside each bucket. A value that fills several
 quantiles by itself gets its own bucket, split further by the tie-break column
 into about as many parts as it fills quantiles, so all buckets together stay in
-proportion to the number of quantiles.
+proportion to the number of quantiles. Without a tie-break column a digest of the
+whole row splits it and orders its rows; only rows equal in every column then stay
+together. (Maps have no digest and are left out of it.)
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
+from itertools import chain
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -33,7 +36,7 @@ def running_total(
     offsets = F.broadcast(
         totals.select(*keys, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))
     )
-    inside = Window.partitionBy(*keys).orderBy(*[c for c in (order, tie) if c]).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*keys).orderBy(order, tie or "_tie_key").rowsBetween(Window.unboundedPreceding, 0)
     summed = bucketed.join(offsets, keys).withColumn(out, F.col("_before") + F.sum("_value").over(inside))
     return summed.drop("_value", "_before", "_key", "_tie_key", *keys)
 
@@ -55,13 +58,26 @@ def _numeric(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind)
+    return isinstance(kind, (T.MapType, T.VariantType))
+
+
 def _with_buckets(df: DataFrame, order: str, tie: str | None, n_buckets: int | None) -> DataFrame:
     n = n_buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = df.withColumn("_key", _numeric(df, order))
     cuts, hot = _cuts(keyed, "_key", n)
     keyed = _bucketize(keyed, "_key", "_bucket", cuts)
-    if tie is None or not hot:
+    if tie is None:
+        keyed = keyed.withColumn("_tie_key", F.xxhash64(*[F.col(f.name) for f in df.schema if not _holds_map(f.dataType)]))
+    if not hot:
         return keyed.withColumn("_sub", F.lit(0.0))
+    if tie is None:
+        share = F.element_at(F.create_map(*[F.lit(x) for x in chain(*hot.items())]), F.col("_key"))
+        return keyed.withColumn("_sub", F.coalesce(F.when(F.col("_key").isin(list(hot)), F.pmod("_tie_key", share)), F.lit(0)).cast("double"))
     keyed = keyed.withColumn("_tie_key", _numeric(df, tie))
     tie_cuts, _ = _cuts(keyed, "_tie_key", n)
     keyed = _bucketize(keyed, "_tie_key", "_sub", tie_cuts)

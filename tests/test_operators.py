@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from kindred.config import RetryPolicy
 from kindred.functions import nested, vectors
-from kindred.operators import deadletter, metrics, store
+from kindred.operators import deadletter, metrics, numbering, store
 from kindred.operators.embed import HashEmbedder, embed, embed_outcomes, hash_embedder
 from kindred.operators.fulltext import match
 from kindred.operators.generate import Template, generate_texts
@@ -437,3 +437,20 @@ def test_merges_beyond_the_limit(spark, base, nothing_is_small):
 def test_match_and_links_beyond_the_limit(spark, points, nothing_is_small):
     test_match_any_token_ranked(spark)
     test_links_collapse_equal_names_and_nest_in_order(spark, points)
+
+
+def test_hot_value_without_tie_is_split(spark):
+    """One value in all rows: numbered without gaps by several tasks, with maps and nulls among the columns."""
+    rows = spark.range(5_000).select(
+        F.lit(7).alias("day"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("some"), F.col("id").alias("row"), F.create_map(F.lit("k"), F.col("id")).alias("extra")
+    )
+    bucketed = numbering._with_buckets(rows, "day", None, 16)
+    sizes = [r["count"] for r in bucketed.groupBy("_bucket", "_sub").count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 5_000 / 4
+    numbered = numbering.dense_positions(rows, "day", n_buckets=16)
+    assert numbered.columns == [*rows.columns, "pos"]
+    assert sorted(r["pos"] for r in numbered.collect()) == list(range(5_000))
+    mixed = rows.withColumn("day", F.when(F.col("row") < 4_000, 7).otherwise(F.col("row") % 5 + 5))
+    got = numbering.dense_positions(mixed, "day", n_buckets=16).orderBy("pos").collect()
+    days = [r["day"] for r in got]
+    assert days == sorted(days) and [r["pos"] for r in got] == list(range(5_000))
