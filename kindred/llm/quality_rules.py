@@ -1,14 +1,18 @@
 """Quality rules with risk-controlled cutoffs.
 
-Every rule compares one statistic of the text with a cutoff. The cutoffs are
-chosen on labelled documents: for a stratum, a rule and a cutoff the good
-documents that the rule would reject are counted, and the cutoff is admitted
-only if the exact binomial tail shows, at a level divided by the number of all
-tests (Bonferroni), that its false rejection rate stays below the rule's share
-of ``max_false_rejection``. Of the admitted cutoffs the strictest is taken; a
-stratum with too few labels has none and rejects nothing. With probability
-``1 - error`` all chosen cutoffs together reject at most the stated share of
-good documents in every stratum.
+Every rule compares one statistic of the text with a cutoff. Cutoffs are chosen on
+labelled documents, a set of cutoffs at once. Sets stand in ladders that are fixed
+beforehand: one per rule, which tightens that rule alone step by step, and one that
+tightens all rules together. For a stratum and a set the good documents that any of
+its cutoffs would reject are counted; an exact binomial tail has to show, at the level
+``error`` divided by the number of strata and ladders (Bonferroni), that less than
+``max_false_rejection`` of good documents are lost. A ladder is climbed in its order
+until the first set that fails (fixed-sequence testing), so its steps need no further
+division. Of the admitted sets of a stratum the one that rejects most labelled
+documents which are not good is taken; choosing among sets that all hold costs
+nothing. A stratum with too few labels has none and rejects nothing. With probability
+``1 - error`` the chosen sets reject less than the stated share of good documents
+in every stratum.
 
 Everything runs as DataFrame and SQL functions. Per document one narrow row
 leaves the scan; texts are never shuffled.
@@ -18,7 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.operators.sizes import shipped
@@ -130,37 +134,68 @@ def binomial_tail(k: Column, n: Column, rate: float) -> Column:
     return F.when(k >= rate * n, F.lit(1.0)).otherwise(summed)
 
 
+def ladders(rules: tuple[Rule, ...]) -> list[list[dict[str, float]]]:
+    """Sets of cutoffs (rule: cutoff) in the order in which they are tested: one ladder
+    per rule, and with several rules one for all of them together."""
+    out = [[{rule.name: float(cut)} for cut in reversed(rule.cutoffs)] for rule in rules]
+    if len(rules) > 1:
+        steps = max(len(rule.cutoffs) for rule in rules)
+        out.append([{r.name: float(r.cutoffs[max(0, len(r.cutoffs) - 1 - step)]) for r in rules} for step in range(steps)])
+    return out
+
+
 def choose_cutoffs(
     labelled: DataFrame, rules: tuple[Rule, ...], *, max_false_rejection: float, error: float
 ) -> DataFrame:
-    """stratum, rule, cutoff: the strictest admitted cutoff of every stratum and rule.
+    """stratum, rule, cutoff: the cutoffs of every stratum's chosen set.
 
     ``labelled`` has the feature columns, ``stratum`` and ``good`` (boolean).
-    At most strata x rules rows come back.
+    At most strata x rules rows come back. Of sets that reject equally many documents
+    which are not good, the one that loses fewest good ones is taken, then the first;
+    where all labelled documents are good, the strictest.
     """
-    rate = max_false_rejection / len(rules)
+    sets = ladders(rules)
+    above = {rule.name: rule.statistic for rule in rules}
     tested = F.explode(
         F.array(
             *[
-                F.struct(F.lit(rule.name).alias("rule"), F.lit(float(cut)).alias("cutoff"), (F.expr(rule.statistic) > cut).alias("rejects"))
-                for rule in rules
-                for cut in rule.cutoffs
+                F.struct(
+                    F.lit(number).alias("ladder"),
+                    F.lit(step).alias("step"),
+                    F.expr(" or ".join(f"coalesce({above[name]} > {cut!r}D, false)" for name, cut in cuts.items())).alias("rejects"),
+                )
+                for number, ladder in enumerate(sets)
+                for step, cuts in enumerate(ladder)
             ]
         )
     )
+    rejected = F.col("test.rejects").cast("bigint")
+    good = F.col("good").cast("bigint")
     counts = (
-        labelled.filter("good")
-        .select("stratum", tested.alias("test"))
-        .groupBy("stratum", "test.rule", "test.cutoff")
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.sum(F.coalesce(F.col("test.rejects"), F.lit(False)).cast("bigint")).alias("_k"),
-        )
+        labelled.select("stratum", "good", tested.alias("test"))
+        .groupBy("stratum", "test.ladder", "test.step")
+        .agg(F.sum(good).alias("_n"), F.sum(good * rejected).alias("_k"), F.sum((1 - good) * rejected).alias("_junk"), F.sum(1 - good).alias("_bad"))
+        .filter("_n > 0")
+    )
+    n_tests = labelled.filter("good").select("stratum").distinct().agg((F.count(F.lit(1)) * len(sets)).alias("_tests"))
+    # one row: the number of ladders of all strata
+    tail = binomial_tail(F.col("_k"), F.col("_n"), max_false_rejection)
+    held = counts.join(F.broadcast(n_tests)).withColumn("_holds", tail * F.col("_tests") <= error)
+    # the steps of a ladder up to its first failure; a few rows per stratum
+    climbed = Window.partitionBy("stratum", "ladder").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    admitted = held.withColumn("_holds", F.min("_holds").over(climbed)).filter("_holds")
+    lost = F.when(F.col("_bad") == 0, -F.col("_k")).otherwise(F.col("_k"))
+    best = admitted.groupBy("stratum").agg(F.min(F.struct(-F.col("_junk"), lost, "ladder", "step")).alias("s"))
+    cutoffs = F.array(
+        *[
+            F.struct(F.lit(number).alias("ladder"), F.lit(step).alias("step"), F.lit(name).alias("rule"), F.lit(cut).alias("cutoff"))
+            for number, ladder in enumerate(sets)
+            for step, cuts in enumerate(ladder)
+            for name, cut in cuts.items()
+        ]
     )
-    n_tests = labelled.filter("good").select("stratum").distinct().agg((F.count(F.lit(1)) * sum(len(r.cutoffs) for r in rules)).alias("_tests"))
-    # one row: the number of tests
-    passed = counts.join(F.broadcast(n_tests)).filter(binomial_tail(F.col("_k"), F.col("_n"), rate) * F.col("_tests") <= error)
-    return passed.groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
+    chosen = best.select("stratum", "s.ladder", "s.step", F.explode(cutoffs).alias("c"))
+    return chosen.filter("ladder = c.ladder and step = c.step").select("stratum", "c.rule", "c.cutoff")
 
 
 def _judged(

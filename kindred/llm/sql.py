@@ -1,6 +1,6 @@
 """SQL twins of the queries that SQL can state."""
 
-from kindred.llm.quality_rules import RULES
+from kindred.llm.quality_rules import RULES, ladders
 
 EXACT_DEDUP_SQL = r"""
 WITH d AS (
@@ -69,8 +69,14 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component
 FROM components LEFT JOIN counts USING (vec_id)
 """
 
-_RATE = 0.02 / len(RULES)
-_TESTS = ", ".join(f"('{r.name}', {cut!r}::DOUBLE)" for r in RULES for cut in r.cutoffs)
+_RATE = 0.02
+_LADDERS = ladders(RULES)
+_TESTS = ", ".join(
+    f"({number}, {step}, '{name}', {cut!r}::DOUBLE)"
+    for number, ladder in enumerate(_LADDERS)
+    for step, cuts in enumerate(ladder)
+    for name, cut in cuts.items()
+)
 _STATISTIC = " ".join(f"WHEN '{r.name}' THEN {r.statistic}" for r in RULES)
 
 QUALITY_RULES_SQL = rf"""
@@ -94,25 +100,31 @@ WITH w AS (
     FROM w LEFT JOIN cov USING (doc_id)
 ), b AS (
     SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM f
-), good AS (
-    SELECT doc_id FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1
-), tests(rule, cutoff) AS (
+), label AS (
+    SELECT doc_id, min(quality) = 1 AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id
+), tests(ladder, step, rule, cutoff) AS (
     VALUES {_TESTS}
 ), stat AS (
-    SELECT doc_id, stratum, rule, cutoff, CASE rule {_STATISTIC} END AS s FROM b, tests WHERE NOT base_failed
+    SELECT doc_id, stratum, ladder, step, bool_or(coalesce(CASE rule {_STATISTIC} END > cutoff, false)) AS rejects
+    FROM b, tests WHERE NOT base_failed GROUP BY ALL
 ), counts AS (
-    SELECT stratum, rule, cutoff, count(*) AS n, count(*) FILTER (WHERE s > cutoff) AS k
-    FROM stat JOIN good USING (doc_id) GROUP BY ALL
+    SELECT stratum, ladder, step, count(*) FILTER (WHERE good) AS n,
+        count(*) FILTER (WHERE good AND rejects) AS k, count(*) FILTER (WHERE NOT good AND rejects) AS junk,
+        count(*) FILTER (WHERE NOT good) AS bad
+    FROM stat JOIN label USING (doc_id) GROUP BY ALL HAVING count(*) FILTER (WHERE good) > 0
 ), tail AS (
-    SELECT stratum, rule, cutoff,
+    SELECT *,
         CASE WHEN k >= {_RATE!r} * n THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1),
             lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({_RATE!r}) + (n - i) * ln(1 - {_RATE!r})))) END AS p,
-        (SELECT count(DISTINCT stratum) FROM counts) * (SELECT count(*) FROM tests) AS n_tests
+        (SELECT count(DISTINCT stratum) FROM counts) * {len(_LADDERS)} AS n_tests
     FROM counts
+), climbed AS (
+    SELECT *, bool_and(p * n_tests <= 0.05) OVER (PARTITION BY stratum, ladder ORDER BY step) AS holds FROM tail
 ), chosen AS (
-    SELECT stratum, rule, min(cutoff) AS cutoff FROM tail WHERE p * n_tests <= 0.05 GROUP BY ALL
+    SELECT stratum, ladder, step FROM climbed WHERE holds
+    QUALIFY row_number() OVER (PARTITION BY stratum ORDER BY junk DESC, CASE WHEN bad = 0 THEN -k ELSE k END, ladder, step) = 1
 ), rejected AS (
-    SELECT DISTINCT doc_id FROM stat JOIN chosen USING (stratum, rule) WHERE stat.s > chosen.cutoff
+    SELECT DISTINCT doc_id FROM stat JOIN chosen USING (stratum, ladder, step) WHERE rejects
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept

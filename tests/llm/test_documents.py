@@ -131,6 +131,29 @@ def test_cutoffs_hold_the_risk(spark):
     assert judge(docs, labels(spark, []), max_false_rejection=0.2).filter("not kept").count() == 0
 
 
+def test_cutoffs_need_few_labels_and_prefer_what_rejects_junk(spark):
+    """Three strata, fifteen ladders: 250 good documents show 3 % where none is lost, 40 show nothing."""
+    clean, junk, repeated = "word%d " * 30, "word%d## " * 30, "line one two three four\nline one two three four\n" + "word%d " * 30
+    rows, marks = [], []
+    for lang, of in (("en", 250), ("de", 250), ("fr", 40)):
+        for n in range(of + 20):
+            bad = n >= of
+            text = (junk if bad else repeated if lang == "de" and n % 10 == 0 else clean) % tuple(range(30))
+            marks.append((len(rows), 0 if bad else 1, 0))
+            rows.append((len(rows), text, lang, "s", 0))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    judged = judge(docs, labels(spark, marks), max_false_rejection=0.03).filter("not kept").collect()
+    # de's repeated lines do not stop its other ladder; fr has too few labels
+    assert sorted(r.stratum for r in judged) == ["de"] * 20 + ["en"] * 20
+    assert all(r.n_symbols for r in judged)
+
+
+def test_ladders_tighten():
+    for ladder in quality_rules.ladders(quality_rules.RULES):
+        for loose, strict in zip(ladder, ladder[1:]):
+            assert loose.keys() == strict.keys() and all(strict[name] <= loose[name] for name in loose) and strict != loose
+
+
 @pytest.mark.parametrize(("k", "n", "p"), [(0, 10, 0.1), (3, 100, 0.05), (7, 400, 0.02), (1, 3, 0.9)])
 def test_binomial_tail(spark, k, n, p):
     df = spark.createDataFrame([(k, n)], "_k bigint, _n bigint")
