@@ -67,22 +67,25 @@ def generate_texts(
     *,
     seed: int = config.GENERATOR_SEED,
     max_rounds: int = 8,
+    draws: int | None = None,
 ) -> DataFrame:
     """``pos, text``: the first ``count`` distinct texts of the sample sequence.
 
     More rows than needed are drawn and reduced to distinct texts (kept at
     their first row); a round that falls short draws four times as many. A
     request beyond what the templates can express is an error, not an endless
-    loop.
+    loop. With ``draws`` the sequence ends after so many rows, and a request
+    beyond what they hold gets all their distinct texts.
     """
     space = sum(_combinations(t, vocabularies) for t in templates)
-    if count > space:
+    if draws is None and count > space:
         raise ValueError(f"{count} distinct texts asked for, the templates make at most {space}")
     drawn = max(2 * count, 16)
     for _ in range(max_rounds):
-        sample = sample_texts(spark, drawn, vocabularies, templates, seed)
+        last = draws is not None and (drawn >= draws or count > space)
+        sample = sample_texts(spark, draws if last else drawn, vocabularies, templates, seed)
         distinct = materialize(sample.groupBy("text").agg(F.min("row").alias("row")), "texts")
-        if distinct.count() >= count:
+        if last or distinct.count() >= count:
             return first_rows(distinct, count, "row").select("pos", "text")
         drawn *= 4
     raise ValueError(f"no {count} distinct texts among {drawn // 4} drawn ones")

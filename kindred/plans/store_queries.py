@@ -328,7 +328,8 @@ def _generated_sql(templates: list[Template], seed: int) -> str:
 
 
 def _generated(spark: SparkSession, sf_dir: str, templates: list[Template], seed: int) -> DataFrame:
-    """As many distinct texts as there are parts, words taken from the tables."""
+    """As many distinct texts as there are parts, words taken from the tables, or
+    all that four draws a part make where the words are too few for that."""
     part, nation = table(spark, sf_dir, "part"), table(spark, sf_dir, "nation")
     words = {
         "adjective": vocabulary(part, F.split_part("p_name", F.lit(" "), F.lit(1))),
@@ -337,7 +338,8 @@ def _generated(spark: SparkSession, sf_dir: str, templates: list[Template], seed
         "kind": vocabulary(part, F.col("p_type")),
         "nation": vocabulary(nation, F.col("n_name")),
     }
-    return generate_texts(spark, part.count(), words, templates, seed=seed)
+    n_parts = part.count()
+    return generate_texts(spark, n_parts, words, templates, seed=seed, draws=4 * n_parts)
 
 
 @query(_generated_sql(_PRODUCT_TEMPLATES, config.GENERATOR_SEED))

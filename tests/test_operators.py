@@ -7,10 +7,11 @@ from kindred.functions import nested, vectors
 from kindred.operators import deadletter, metrics, numbering, store
 from kindred.operators.embed import HashEmbedder, embed, embed_outcomes, hash_embedder
 from kindred.operators.fulltext import match
-from kindred.operators.generate import Template, generate_texts
+from kindred.operators.generate import Template, generate_texts, sample_texts
 from kindred.operators.link import link_products, make_points, nest_links, search_distinct, search_texts
 from kindred.operators.numbering import dense_positions, first_rows, running_total
 from kindred.operators.points import assemble_documents, assemble_points
+from kindred.plans.catalog import QUERIES
 from kindred.sources.tables import read_table
 from kindred.streaming import ingest
 
@@ -301,6 +302,16 @@ def test_generated_texts_are_distinct_repeatable_and_bounded(spark):
         generate_texts(spark, 25, words, templates)
 
 
+def test_generator_gives_what_its_draws_hold_where_more_is_asked_for(spark):
+    words = {"a": ["x", "y", "z"], "b": ["1", "2", "3", "4"]}
+    templates = [Template(("a", "b"), 3), Template(("b", "a"))]
+    drawn = [r["text"] for r in sample_texts(spark, 100, words, templates, 3).orderBy("row").collect()]
+    texts = generate_texts(spark, 25, words, templates, seed=3, draws=100).orderBy("pos").collect()
+    assert [(r["pos"], r["text"]) for r in texts] == list(enumerate(dict.fromkeys(drawn)))
+    few = generate_texts(spark, 20, words, templates, seed=3, draws=10).orderBy("pos").collect()
+    assert [r["text"] for r in few] == list(dict.fromkeys(drawn[:10]))
+
+
 # --- streams ---
 
 
