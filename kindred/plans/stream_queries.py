@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+from math import ceil
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kindred.operators.fulltext import match
@@ -14,16 +17,18 @@ from kindred.sources.tables import read_table
 from kindred.streaming import ingest, statistics
 
 
-def _ingest_vectors(spark: SparkSession, sf_dir: str, glob: str) -> str:
+def _ingest_vectors(spark: SparkSession, sf_dir: str, *tables: str) -> str:
+    """The tables in as many micro-batches, one file each where a table is a file."""
     path = new_work_path(spark, "stream-points")
-    stream = ingest.text_stream(spark, sf_dir, "text", glob=glob, files_per_batch=1)
+    n_files = sum(len(table(spark, sf_dir, name).inputFiles()) for name in tables)
+    stream = ingest.text_stream(spark, sf_dir, "text", tables=tables, files_per_batch=ceil(n_files / len(tables)))
     ingest.run_ingest(stream, path, ingest.vector_step(path, MODEL, DIM))
     return path
 
 
 @query("SELECT row_number() OVER (ORDER BY doc_id) - 1 AS point_id, md5(text) AS keyword_md5 FROM documents")
 def ingest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _ingest_vectors(spark, sf_dir, "documents.parquet")
+    path = _ingest_vectors(spark, sf_dir, "documents")
     points = ingest.current_rows(spark, path, "point_id")
     return points.select("point_id", F.md5(F.element_at("payload", "keyword")).alias("keyword_md5"))
 
@@ -33,8 +38,8 @@ def ingest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT count(*) AS n_points, 0 AS first_id, count(*) - 1 AS last_id, count(DISTINCT text) AS n_texts FROM all_texts"""
 )
 def ingest_appends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three files in three micro-batches: ids go on behind the existing ones."""
-    path = _ingest_vectors(spark, sf_dir, "{documents,benchmark,conversations}.parquet")
+    """Three tables in three micro-batches: ids go on behind the existing ones."""
+    path = _ingest_vectors(spark, sf_dir, "documents", "benchmark", "conversations")
     points = ingest.current_rows(spark, path, "point_id")
     return points.agg(
         F.count(F.lit(1)).alias("n_points"),
@@ -44,9 +49,18 @@ def ingest_appends(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _table_row() -> Column:
-    """Name of the table (and of its file, where it is a folder) and row within the file."""
-    return F.concat_ws(":", F.regexp_extract("file", r"([^/]+\.parquet)(/[^/]+)?$", 0), F.col("row_in_file").cast("string"))
+def _places_in_tables(spark: SparkSession, sf_dir: str, *tables: str) -> DataFrame:
+    """file, table, table_offset: of each file the name of its table and the rows of the table's files before it."""
+    counted = [
+        table(spark, sf_dir, name)
+        .groupBy(F.col("_metadata.file_path").alias("file"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("table", F.lit(f"{name}.parquet"))
+        for name in tables
+    ]
+    before = Window.partitionBy("table").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("n").over(before), F.lit(0))
+    return reduce(DataFrame.unionByName, counted).select("file", "table", offset.alias("table_offset"))
 
 
 @query(
@@ -56,9 +70,14 @@ def _table_row() -> Column:
 def ingest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with given ids; the last batch is replayed, which changes nothing."""
     path = new_work_path(spark, "stream-docs")
-    step = ingest.document_step(doc_id=_table_row(), source_key="source")
-    stream = ingest.text_stream(spark, sf_dir, "text", glob="{documents,benchmark}.parquet", files_per_batch=1)
-    ingest.run_ingest(stream, path, step)
+    tables = ("documents", "benchmark")
+    # one row per file
+    places = F.broadcast(_places_in_tables(spark, sf_dir, *tables))
+    row_id = F.concat_ws(":", "table", (F.col("table_offset") + F.col("row_in_file")).cast("string"))
+    step = ingest.document_step(doc_id=row_id, source_key="source")
+    n_files = sum(len(table(spark, sf_dir, name).inputFiles()) for name in tables)
+    stream = ingest.text_stream(spark, sf_dir, "text", tables=tables, files_per_batch=ceil(n_files / 2))
+    ingest.run_ingest(stream.join(places, "file"), path, step)
     replayed = new_work_path(spark, "replayed")
     read_table(spark, path).filter(F.col("batch_id") == 1).drop("batch_id").write.parquet(replayed)
     ingest.write_batch(spark.read.parquet(replayed), path, 1)
@@ -78,7 +97,7 @@ def ingest_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products arrive as a stream and are linked against stored points."""
     path = new_work_path(spark, "stream-links")
     points = make_points(table(spark, sf_dir, "benchmark"), MODEL, DIM, row_id="item_id")
-    stream = ingest.text_stream(spark, sf_dir, "p_name", glob="part.parquet")
+    stream = ingest.text_stream(spark, sf_dir, "p_name", tables=("part",))
     ingest.run_ingest(stream, path, ingest.link_step(points, MODEL, DIM, top_k=LINK_K))
     docs = ingest.current_rows(spark, path, "product_name")
     ids = F.transform("keywords", lambda h: h["keyword_id"].cast("string"))
@@ -96,7 +115,7 @@ _DOC_POINTS = hash_vectors_sql("docs", "documents", "doc_id", "text")
 )
 def ingest_verified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """After a load: how many points there are, and sample searches on them."""
-    points = ingest.current_rows(spark, _ingest_vectors(spark, sf_dir, "documents.parquet"), "point_id")
+    points = ingest.current_rows(spark, _ingest_vectors(spark, sf_dir, "documents"), "point_id")
     asked = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("query_id"), F.col("r_name").alias("query"))
     hits = search_texts(asked, points, MODEL, DIM, top_k=5)
     return hits.select("query", "rank", "point_id", F.round("score", 6).alias("score")).withColumn(
@@ -109,7 +128,7 @@ def ingest_default_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without given ids: their numbers, as strings."""
     path = new_work_path(spark, "stream-numbered")
     step = ingest.document_step(path, source_key="source")
-    ingest.run_ingest(ingest.text_stream(spark, sf_dir, "text", glob="documents.parquet", files_per_batch=1), path, step)
+    ingest.run_ingest(ingest.text_stream(spark, sf_dir, "text", tables=("documents",)), path, step)
     return ingest.current_rows(spark, path, "_id", within="pos").select("_id", F.md5("source").alias("source_md5"))
 
 
@@ -127,7 +146,7 @@ def ingest_verified_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     batches have left, and three matches for each sample query."""
     path = new_work_path(spark, "stream-verified")
     step = statistics.with_statistics(ingest.document_step(path, source_key="source"), "source")
-    ingest.run_ingest(ingest.text_stream(spark, sf_dir, "text", glob="documents.parquet", files_per_batch=1), path, step)
+    ingest.run_ingest(ingest.text_stream(spark, sf_dir, "text", tables=("documents",)), path, step)
     docs = ingest.current_rows(spark, path, "_id", within="pos")
     _, totals = statistics.corpus_numbers(spark, path, "_id", "source", within="pos")
     asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))

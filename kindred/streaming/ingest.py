@@ -10,7 +10,7 @@ whose keys came again.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,10 +33,18 @@ def text_stream(
     text_column: str = config.PARQUET_TEXT_COLUMN,
     *,
     glob: str = "*.parquet",
+    tables: Sequence[str] = (),
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Stream of ``text, file, row_in_file`` from the Parquet files of a folder."""
-    reader = spark.readStream.schema(f"`{text_column}` string").option("pathGlobFilter", glob)
+    """Stream of ``text, file, row_in_file`` from the Parquet files of a folder whose
+    names fit ``glob``, or from its ``tables``: each is a file ``<name>.parquet`` or a
+    folder of that name with files of any name."""
+    reader = spark.readStream.schema(f"`{text_column}` string")
+    if tables:
+        # a pattern in the path picks files and folders, the filter sees names of files only
+        path = f"{path}/{{{','.join(tables)}}}.parquet"
+    else:
+        reader = reader.option("pathGlobFilter", glob)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path).select(

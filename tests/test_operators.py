@@ -362,6 +362,37 @@ def test_equal_file_names_of_two_folders_keep_their_rows(spark, tmp_path):
     assert rows.count() == 100 and rows.select("keyword").distinct().count() == 100
 
 
+def test_tables_that_are_files_or_folders_arrive_whole(spark, tmp_path):
+    folder = tmp_path / "a b%20c"
+    for i, name in enumerate(("docs", "docs", "other")):
+        spark.createDataFrame([(f"{name} {i} {j}",) for j in range(3)], "keyword string").coalesce(1).write.parquet(str(tmp_path / f"raw{i}"))
+        to = folder / ("other.parquet" if name == "other" else f"docs.parquet/part-{i}.parquet")
+        to.parent.mkdir(parents=True, exist_ok=True)
+        to.write_bytes(next((tmp_path / f"raw{i}").glob("*.parquet")).read_bytes())
+    for tables, n in ((("docs",), 6), (("other",), 3), (("docs", "other"), 9)):
+        table = str(tmp_path / "-".join(tables))
+        ingest.run_ingest(ingest.text_stream(spark, str(folder), tables=tables), table, ingest.document_step(table))
+        rows = ingest.current_rows(spark, table, "_id", within="pos").collect()
+        assert sorted(int(r["_id"]) for r in rows) == list(range(n)) and len({r["keyword"] for r in rows}) == n
+        if tables == ("docs",):
+            assert [r["keyword"] for r in sorted(rows, key=lambda r: int(r["_id"]))] == [f"docs {i} {j}" for i in range(2) for j in range(3)]
+
+
+def test_stream_queries_read_tables_that_are_folders(spark, sf_dir, tmp_path):
+    for name in ("documents", "benchmark"):
+        whole = spark.read.parquet(f"{sf_dir}/{name}.parquet").limit(60)
+        key = whole.columns[0]
+        parts = whole.orderBy(key).repartitionByRange(2, key).sortWithinPartitions(key)
+        parts.write.parquet(str(tmp_path / f"{name}.parquet"))
+    docs = sorted(spark.read.parquet(str(tmp_path / "documents.parquet")).select("doc_id", F.md5("text").alias("m")).collect())
+    expected = [(str(i), r["m"]) for i, r in enumerate(docs)]
+    found = QUERIES["ingest_default_ids"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, found), key=lambda r: int(r[0])) == expected
+    named = {r["_id"]: r["source_md5"] for r in QUERIES["ingest_documents"](spark, str(tmp_path)).collect()}
+    assert len(named) == len(docs) + spark.read.parquet(str(tmp_path / "benchmark.parquet")).count()
+    assert {i: m for i, m in named.items() if i.startswith("documents")} == {f"documents.parquet:{i}": m for i, m in expected}
+
+
 def test_documents_restart_ids_and_overwrite(spark, tmp_path):
     source, table = str(tmp_path / "in"), str(tmp_path / "docs")
     for texts in (["a", "b", "c"], ["d"]):
