@@ -48,9 +48,11 @@ def surplus_copies(ids: np.ndarray, matrix: np.ndarray, k: int) -> np.ndarray:
     surplus = np.zeros(len(ids), dtype=bool)
     if len(ids) <= k:
         return surplus
-    bits = np.ascontiguousarray(matrix).view(np.uint32).astype(np.uint64)
+    bits = np.ascontiguousarray(matrix).view(np.uint32)
     factors = np.random.default_rng(1).integers(1, 1 << 62, matrix.shape[1], dtype=np.uint64) * 2 + 1
-    row_hash = (bits * factors).sum(axis=1, dtype=np.uint64)
+    # some rows at a time: in 64 bits they take twice the room
+    parts = (bits[i : i + POINT_TILE].astype(np.uint64) * factors for i in range(0, len(bits), POINT_TILE))
+    row_hash = np.concatenate([part.sum(axis=1, dtype=np.uint64) for part in parts])
     _, group, size = np.unique(row_hash, return_inverse=True, return_counts=True)
     crowded = np.nonzero(size[group] > k)[0]
     if len(crowded) == 0:

@@ -3,16 +3,20 @@
 One result row per (query, hit): ``query_id, rank, score, point_id``, ordered
 by score and then by id, so equal scores have one defined order.
 
-Three ways to run the same join; ``strategy="auto"`` chooses by counted size:
+Three ways to run the same join; ``strategy="auto"`` chooses by counted size,
+and of two small sides ships the smaller one:
 
 ``points``   the point side is small (its bytes are checked): it is shipped to
              every task once, queries stream past it, nothing is shuffled.
 ``queries``  the query side is small: points stream past the queries where
              they are stored, each task keeps k hits per query, and only those
-             are shuffled.
+             are shuffled. Queries are shipped in blocks of bounded size, and the
+             points stream past each block.
 ``grid``     both sides are large: each side is hashed into parts of bounded
              size and every (query part, point part) cell is one task-sized
-             group.
+             group. As a row is copied into every part of the other side, there
+             are no more than LEAST_PARTS parts a side that are smaller than
+             a task can hold.
 
 Where hits are shuffled, a first pass over a hashed sample of the points gives
 each query a floor: the score of the k-th best point of the sample. The pass over
@@ -23,6 +27,7 @@ share per query, however many parts or tasks there are.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from math import ceil
 
 import numpy as np
@@ -35,8 +40,13 @@ from kindred.functions import vectors
 from kindred.operators.kernel import PointBlock, RunningTopK, ids_of, matrix_of
 from kindred.session import materialize
 
-BROADCAST_BYTES = 256 << 20
-PART_BYTES = 64 << 20
+BROADCAST_BYTES = 64 << 20
+BLOCK_BYTES = 8 << 20
+PART_BYTES = 16 << 20
+#: Parts of a side that may be smaller than PART_BYTES, so that small tables are spread over tasks.
+LEAST_PARTS = 8
+#: Queries of a part that are searched at once.
+QUERIES_AT_ONCE = 8_192
 #: One point in so many is in the first pass; it is left out where it would hold fewer than this many times k points.
 SAMPLE_SHARE = 16
 SAMPLE_TIMES_K = 4
@@ -87,33 +97,45 @@ def topk_join(
     n_queries = n_points = None
     if strategy == "auto":
         n_points = points.count()
-        if n_points * row_bytes <= broadcast_bytes:
-            strategy = "points"
-        else:
-            n_queries = queries.count()
-            strategy = "queries" if n_queries * row_bytes <= broadcast_bytes else "grid"
+        n_queries = queries.count()
+        small, strategy = min((n_points, "points"), (n_queries, "queries"))
+        if small * row_bytes > broadcast_bytes:
+            strategy = "grid"
     if strategy == "points":
         return _stream_queries(q, _bounded(p, broadcast_bytes // row_bytes), p, k, dim)
     if strategy not in ("queries", "grid"):
         raise ValueError(f"unknown strategy: {strategy}")
     n_points = points.count() if n_points is None else n_points
     part_rows = max(1, part_bytes // row_bytes)
+    n_queries = queries.count() if n_queries is None else n_queries
     if strategy == "queries":
-        table = _bounded(q, broadcast_bytes // row_bytes)
+        block_rows = max(1, min(BLOCK_BYTES, broadcast_bytes) // row_bytes)
+        n_blocks = ceil(n_queries / block_rows)
+        most_rows = broadcast_bytes // row_bytes
         if _worth_a_sample(n_points, k):
-            hits = best_per_query(_stream_points(table, q, sampled(p), k, dim), k)
-            table = _bounded(with_floor(q, hits, k), broadcast_bytes // row_bytes)
-        return best_per_query(_stream_points(table, q, p, k, dim), k)
-    n_queries = queries.count() if n_queries is None else n_queries
+            hits = best_per_query(_blocks_past_points(q, sampled(p), k, dim, n_blocks, most_rows), k)
+            q = materialize(with_floor(q, hits, k), "floors") if n_blocks > 1 else with_floor(q, hits, k)
+        return best_per_query(_blocks_past_points(q, p, k, dim, n_blocks, most_rows), k)
     return best_per_query(grid_hits(q, p, k, dim, n_queries, n_points, part_rows), k)
 
 
+def _blocks_past_points(q: DataFrame, p: DataFrame, k: int, dim: int, n_blocks: int, most_rows: int) -> DataFrame:
+    """Candidate hits of the ``queries`` way. Blocks are cut by a hash and a little uneven."""
+    hits = []
+    for block in range(max(1, n_blocks)):
+        own = q if n_blocks <= 1 else q.filter(F.pmod(F.xxhash64("query_id", "q_vec"), F.lit(n_blocks)) == block)
+        hits.append(_stream_points(_bounded(own, most_rows), q, p, k, dim))
+    return reduce(DataFrame.unionByName, hits)
+
+
 def grid_hits(q: DataFrame, p: DataFrame, k: int, dim: int, n_queries: int, n_points: int, part_rows: int) -> DataFrame:
     """Candidate hits of the ``grid`` way, in two passes."""
     whole = F.lit(0).alias("cell")
 
+    most_rows = max(part_rows, PART_BYTES // (FLOAT_BYTES * dim))
+
     def parts(n: float) -> Column:
-        return F.lit(max(1, ceil(n / part_rows)))
+        return F.lit(max(1, min(ceil(n / part_rows), max(LEAST_PARTS, ceil(n / most_rows)))))
 
     def hits(asked: DataFrame, among: DataFrame, n_among: float) -> DataFrame:
         return topk_in_cells(
@@ -172,9 +194,15 @@ def topk_in_cells(
     def join_group(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows == 0 or right.num_rows == 0:
             return arrow_schema.empty_table()
-        running = RunningTopK(matrix_of(left["q_vec"], dim), k, _floor(left))
-        running.update(PointBlock(ids_of(right["point_id"]), matrix_of(right["p_vec"], dim), k))
-        return pa.Table.from_batches([_hits(running, left["query_id"], arrow_schema)], arrow_schema)
+        block = PointBlock(ids_of(right["point_id"]), matrix_of(right["p_vec"], dim), k)
+        found = []
+        for start in range(0, left.num_rows, QUERIES_AT_ONCE):
+            some = left.slice(start, QUERIES_AT_ONCE)
+            running = RunningTopK(matrix_of(some["q_vec"], dim), k, _floor(some))
+            running.update(block)
+            if running.point is not None:
+                found.append(_hits(running, some["query_id"], arrow_schema))
+        return pa.Table.from_batches(found, arrow_schema)
 
     keys = ("cell", "q_part", "p_part")
     return q.groupBy(*keys).cogroup(p.groupBy(*keys)).applyInArrow(join_group, schema)

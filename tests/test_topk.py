@@ -211,3 +211,33 @@ def test_a_floor_drops_what_is_below(spark):
         running.update(PointBlock(np.arange(200), points, 7))
     high = free.score >= 0.5
     assert np.array_equal(bound.score, free.score[high]) and np.array_equal(bound.point, free.point[high])
+
+
+def test_queries_are_shipped_in_blocks_and_of_two_small_sides_the_smaller(spark, data, monkeypatch):
+    q, p = frame(spark, *zip(*data[0])), frame(spark, *zip(*data[1]))
+    shipped = []
+    bounded = topk._bounded
+    monkeypatch.setattr(topk, "_bounded", lambda side, most: shipped.append((side.columns[0], bounded(side, most))) or shipped[-1][1])
+    assert len(data[0]) < len(data[1])
+    expected = brute_force(*data, 3)
+    assert_same(topk_join(q, p, 3, DIM, query_id="id", point_id="id"), expected)
+    assert {name for name, _ in shipped} == {"query_id"}
+    shipped.clear()
+    monkeypatch.setattr(topk, "BLOCK_BYTES", 4 * DIM * 5)
+    assert_same(topk_join(q, p, 3, DIM, query_id="id", point_id="id", strategy="queries"), expected)
+    assert len(shipped) >= len(data[0]) // 5 and max(table.num_rows for _, table in shipped) < len(data[0])
+
+
+def test_rows_are_copied_no_more_often_than_tasks_need(spark):
+    """Parts far below what a task can hold: each row is in LEAST_PARTS groups, not in one per part of the other side."""
+    queries, points, hits = _grid(spark, 2_000, 10, 3)
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(0, 199" not in plan and "199]" not in plan
+    expected = brute_force([tuple(r) for r in queries.collect()], [tuple(r) for r in points.collect()], 3)
+    assert_same(topk.best_per_query(hits, 3), expected)
+
+
+def test_all_groups_of_queries_are_searched(spark, data, monkeypatch):
+    monkeypatch.setattr(topk, "QUERIES_AT_ONCE", 4)
+    q, p = frame(spark, *zip(*data[0])), frame(spark, *zip(*data[1]))
+    assert_same(topk_join(q, p, 3, DIM, query_id="id", point_id="id", strategy="grid"), brute_force(*data, 3))
