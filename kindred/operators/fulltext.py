@@ -26,6 +26,9 @@ SCORE_DIGITS = 9
 # Terms of all queries that are shipped to every task at most.
 MAX_SHIPPED_TERMS = 200_000
 
+# Postings that meet a query's term in one product; more documents wait for the next.
+MEETINGS_AT_ONCE = 1_000_000
+
 # Token of the row that carries a document's length; no text has it.
 LENGTH_ROW = ""
 
@@ -167,23 +170,39 @@ def _score_in_rows(weighed: DataFrame, terms: DataFrame, size: int) -> DataFrame
         place, bounds, of_query, idf, ids = shared.value
         held = None
         for batch in batches:
-            if not len(batch):
-                continue
-            n = batch["words"].map(len).to_numpy()
+            n = batch["words"].map(len).to_numpy(np.int64)
             word = np.fromiter((place[w] for own in batch["words"] for w in own), np.int64, n.sum())
-            weight = np.concatenate([np.asarray(w, float) for w in batch["weights"]])
-            doc = np.repeat(np.arange(len(batch)), n)
+            weight = np.concatenate([np.zeros(0), *(np.asarray(w, float) for w in batch["weights"])])
+            first = np.append(0, np.cumsum(n))
             # each posting meets the queries of its word
-            times = bounds[word + 1] - bounds[word]
-            at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(bounds[word], times)
-            pair = of_query[at] * len(batch) + np.repeat(doc, times)
-            pairs, back = np.unique(pair, return_inverse=True)
-            total = np.bincount(back, idf[at] * np.repeat(weight, times), len(pairs))
-            found = pd.DataFrame(
-                {"query": pairs // len(batch), "doc_id": batch["doc_id"].to_numpy()[pairs % len(batch)], "score": total.round(SCORE_DIGITS)}
-            )
-            held = best(found if held is None else pd.concat([held, found]))
+            meets = np.append(0, np.cumsum(bounds[word + 1] - bounds[word]))[first]
+            for lo, hi in _runs(meets, MEETINGS_AT_ONCE):
+                some = slice(first[lo], first[hi])
+                found = _scored(batch["doc_id"].to_numpy()[lo:hi], n[lo:hi], word[some], weight[some], bounds, of_query, idf)
+                held = best(found if held is None else pd.concat([held, found]))
         if held is not None and len(held):
             yield pd.DataFrame({"query_id": ids[held["query"].to_numpy()], "doc_id": held["doc_id"].to_numpy(), "score": held["score"].to_numpy()})
 
     return documents.mapInPandas(score, schema)
+
+
+def _runs(before: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Documents one after the other whose meetings are ``most`` in all, or one document. ``before`` counts those before each."""
+    lo = 0
+    while lo < len(before) - 1:
+        hi = max(lo + 1, int(np.searchsorted(before, before[lo] + most, "right")) - 1)
+        yield lo, hi
+        lo = hi
+
+
+def _scored(
+    doc_id: np.ndarray, n: np.ndarray, word: np.ndarray, weight: np.ndarray, bounds: np.ndarray, of_query: np.ndarray, idf: np.ndarray
+) -> pd.DataFrame:
+    """query (by number), doc_id and score of all of these documents, with ``n`` postings each, that match."""
+    doc = np.repeat(np.arange(len(n)), n)
+    times = bounds[word + 1] - bounds[word]
+    at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(bounds[word], times)
+    pair = of_query[at] * len(n) + np.repeat(doc, times)
+    pairs, back = np.unique(pair, return_inverse=True)
+    total = np.bincount(back, idf[at] * np.repeat(weight, times), len(pairs))
+    return pd.DataFrame({"query": pairs // len(n), "doc_id": doc_id[pairs % len(n)], "score": total.round(SCORE_DIGITS)})

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from kindred.config import RetryPolicy
 from kindred.functions import nested, vectors
-from kindred.operators import deadletter, metrics, numbering, store
+from kindred.operators import deadletter, fulltext, metrics, numbering, store
 from kindred.operators.embed import HashEmbedder, embed, embed_outcomes, hash_embedder
 from kindred.operators.fulltext import match
 from kindred.operators.generate import Template, generate_texts, sample_texts
@@ -288,6 +288,13 @@ def test_match_any_token_ranked(spark):
     assert match(docs, queries, size=1).filter("query_id = 0").count() == 1
 
 
+def test_match_takes_documents_in_runs_of_bounded_meetings():
+    before = np.array([0, 3, 6, 20, 21, 22, 22])
+    runs = list(fulltext._runs(before, 7))
+    assert runs == [(0, 2), (2, 3), (3, 6)]
+    assert list(fulltext._runs(np.array([0]), 7)) == []
+
+
 # --- generator ---
 
 
