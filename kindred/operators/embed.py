@@ -79,11 +79,10 @@ def embed(
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = factory()
         for column in columns:
-            texts = column.drop_null().to_pylist()
-            parts = [
-                checked(model([prefix + t for t in texts[s : s + batch_size]]), len(texts[s : s + batch_size]), dim)
-                for s in range(0, len(texts), batch_size)
-            ]
+            texts, parts = column.drop_null(), []
+            for s in range(0, len(texts), batch_size):
+                some = [prefix + t for t in texts.slice(s, batch_size).to_pylist()]
+                parts.append(checked(model(some), len(some), dim))
             yield _vectors(np.concatenate(parts) if parts else np.empty((0, dim), np.float32), column.is_valid())
 
     return df.withColumn(out, run(F.col(text)))
