@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.session import materialize
+from kindred.session import in_tasks, materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -23,23 +23,28 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return linked.union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).filter("a != b")
 
 
-def star_round(edges: DataFrame) -> DataFrame:
-    """Edges (a > b) of the same components, each nearer to its smallest node; written."""
-    return materialize(_small_star(_large_star(edges).distinct()).distinct(), "edges")
+def star_round(edges: DataFrame, rows: int | None = None) -> DataFrame:
+    """Edges (a > b) of the same components, each nearer to its smallest node; written.
 
+    ``rows`` is the number of edges where it is known; a step puts out at most twice as many."""
+    most = None if rows is None else 2 * rows
+    large = in_tasks(in_tasks(_large_star(edges), most).distinct(), most)
+    return materialize(in_tasks(in_tasks(_small_star(large), most).distinct(), most), "edges")
 
-def connected_components(edges: DataFrame) -> DataFrame:
+
+def connected_components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """node, root (the component's smallest node) for every end of an edge.
 
     ``edges`` has columns a and b of one ordered type; nulls and loops are
     ignored, repeated edges count once. Every round is written to the shared
     folder, so neither lineage nor driver grows; the driver sees two numbers a
-    round. The number of rounds is logarithmic in the length of chains.
+    round. Where ``rows``, the number of edges, is given, steps run in as many tasks
+    as those ask for. The number of rounds is logarithmic in the length of chains.
     """
-    current = materialize(edges.select("a", "b").filter("a != b").distinct(), "edges")
+    current = materialize(in_tasks(edges.select("a", "b").filter("a != b").distinct(), rows), "edges")
     seen = None
     while True:
-        stars = star_round(current)
+        stars = star_round(current, rows)
         # equal count and equal hash sum: the round changed nothing
         now = stars.agg(
             F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
@@ -48,4 +53,5 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         seen, current = now, stars
     nodes = stars.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return nodes.union(stars.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    roots = stars.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    return nodes.union(in_tasks(roots, rows))
